@@ -96,18 +96,18 @@ def clean_stock_name(full_name: Column | str, symbol: Column | str) -> Column:
 
 def normalize_ticker(c: Column | str) -> Column:
     """upper(trim(x)), part before ':'; null -> ''."""
-    t = F.upper(F.trim(F.coalesce(col_(c), F.lit(""))))
+    t = F.upper(strip_ws(F.coalesce(col_(c), F.lit(""))))
     return F.split_part(t, F.lit(":"), F.lit(1))
 
 
 def clean_holding_name(name: Column | str, ticker: Column | str) -> Column:
     """Drop a glued ticker suffix (case-blind), drop a trailing
     "(SYMBOL)", squeeze runs of whitespace. Null name -> ''."""
-    s = F.trim(F.coalesce(col_(name), F.lit("")))
-    t = F.trim(F.coalesce(col_(ticker), F.lit("")))
+    s = strip_ws(F.coalesce(col_(name), F.lit("")))
+    t = strip_ws(F.coalesce(col_(ticker), F.lit("")))
     glued = (F.length(t) > 0) & F.upper(s).endswith(F.upper(t))
-    s1 = F.when(glued, F.trim(F.left(s, F.length(s) - F.length(t)))).otherwise(s)
-    s2 = F.trim(F.regexp_replace(s1, DISPLAY_SYMBOL_SUFFIX, ""))
+    s1 = F.when(glued, strip_ws(F.left(s, F.length(s) - F.length(t)))).otherwise(s)
+    s2 = strip_ws(F.regexp_replace(s1, DISPLAY_SYMBOL_SUFFIX, ""))
     return F.regexp_replace(s2, r"\s{2,}", " ")
 
 

@@ -24,8 +24,18 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 _LOWER_BITS = 33  # record index bits of monotonically_increasing_id
 
 
+_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Bounded count (stops after max_rows + 1 rows); memoised per frame."""
+    key = (id(df), max_rows)
+    hit = _CHECKED.get(key)
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    _CHECKED[key] = (df, ok)
+    return ok
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

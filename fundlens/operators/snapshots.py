@@ -37,13 +37,15 @@ def _as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _sort_key(df: DataFrame, term: By, i: int) -> list[Column]:
+def _sort_key(types: dict[str, T.DataType], term: By, i: int) -> list[Column]:
     """Encode one term as ascending struct fields: (null flag, value)."""
     c = _as_col(term.col)
     flag = c.isNull() if term.nulls_last else c.isNotNull()
     if not term.desc:
         return [flag.alias(f"n{i}"), c.alias(f"v{i}")]
-    dtype = df.select(c).schema[0].dataType
+    if not isinstance(term.col, str):
+        raise TypeError("descending terms must name a column")
+    dtype = types[term.col]
     if isinstance(dtype, T.BooleanType):
         v = ~c
     elif isinstance(dtype, T.DateType):
@@ -63,9 +65,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[By]) -> Da
     broken by the full row, so the result is deterministic."""
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
+    types = {f.name: f.dataType for f in df.schema.fields}
     order_fields: list[Column] = []
     for i, term in enumerate(order):
-        order_fields.extend(_sort_key(df, term, i))
+        order_fields.extend(_sort_key(types, term, i))
     packed = F.struct(F.struct(*order_fields).alias("o"), F.struct(*[F.col(c) for c in payload]).alias("p"))
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_m"))
     return agg.select(*[F.col(k) for k in keys], *[F.col("_m.p." + c).alias(c) for c in payload]).select(*df.columns)

@@ -38,4 +38,7 @@ def sql_for(final: str, deps: tuple[str, ...] | list[str] | None = None) -> str:
     if not ordered:
         return final.strip()
     blocks = ",\n".join(f"{n} AS (\n{CTE[n][0]}\n)" for n in ordered)
-    return f"WITH {blocks}\n{final.strip()}"
+    body = final.strip()
+    if re.match(r"(?i)^with\s", body):
+        return f"WITH {blocks},\n{body[5:]}"
+    return f"WITH {blocks}\n{body}"

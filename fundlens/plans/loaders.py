@@ -8,7 +8,7 @@ later stages read.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,18 +19,52 @@ from ..operators.snapshots import asc, desc, first_per_key, latest_snapshot, lat
 from ..sources.readers import FX_TABLE_SCHEMA, resolve_columns, table_or_empty
 
 
-@dataclass
 class Dataset:
-    thai_funds: DataFrame
-    thai_isin: DataFrame
-    thai_nav_aum: DataFrame
-    thai_feeder: DataFrame
-    ft_static: DataFrame
-    ft_holdings: DataFrame
-    ft_sector: DataFrame
-    ft_region: DataFrame
-    ft_return: DataFrame
-    fx_rates: DataFrame
+    """The ten loaded sources, each built on first use."""
+
+    def __init__(self, spark: SparkSession, src: Mapping[str, DataFrame]):
+        self.spark = spark
+        self.src = src
+
+    @cached_property
+    def thai_funds(self) -> DataFrame:
+        return load_thai_funds(self.src)
+
+    @cached_property
+    def thai_isin(self) -> DataFrame:
+        return load_thai_isin(self.src)
+
+    @cached_property
+    def thai_nav_aum(self) -> DataFrame:
+        return load_thai_nav_aum(self.src)
+
+    @cached_property
+    def thai_feeder(self) -> DataFrame:
+        return load_thai_feeder(self.src)
+
+    @cached_property
+    def ft_static(self) -> DataFrame:
+        return load_ft_static(self.src)
+
+    @cached_property
+    def ft_holdings(self) -> DataFrame:
+        return load_ft_holdings(self.src)
+
+    @cached_property
+    def ft_sector(self) -> DataFrame:
+        return load_allocation(self.src, "sector")
+
+    @cached_property
+    def ft_region(self) -> DataFrame:
+        return load_allocation(self.src, "region")
+
+    @cached_property
+    def ft_return(self) -> DataFrame:
+        return load_ft_return(self.src)
+
+    @cached_property
+    def fx_rates(self) -> DataFrame:
+        return load_fx_rates(self.spark, self.src)
 
 
 def load_thai_funds(src: Mapping[str, DataFrame]) -> DataFrame:
@@ -152,15 +186,4 @@ def load_fx_rates(spark: SparkSession, src: Mapping[str, DataFrame], table: str
 
 
 def load_dataset(spark: SparkSession, src: Mapping[str, DataFrame]) -> Dataset:
-    return Dataset(
-        thai_funds=load_thai_funds(src),
-        thai_isin=load_thai_isin(src),
-        thai_nav_aum=load_thai_nav_aum(src),
-        thai_feeder=load_thai_feeder(src),
-        ft_static=load_ft_static(src),
-        ft_holdings=load_ft_holdings(src),
-        ft_sector=load_allocation(src, "sector"),
-        ft_region=load_allocation(src, "region"),
-        ft_return=load_ft_return(src),
-        fx_rates=load_fx_rates(spark, src),
-    )
+    return Dataset(spark, src)

@@ -18,7 +18,7 @@ from ..plans.navfx import clean_fx, fund_currency, fx_latest_per_ccy, nav_with_f
 from ..plans.loaders import load_dataset
 from ..sources.testdata import TestData
 from . import register
-from .common import mart
+from .common import mart, test_data
 
 
 def alias(keys: list[str], oracle: str | None):
@@ -40,12 +40,12 @@ def q_scan_projected(spark: SparkSession, sf: str) -> DataFrame:
 
 @alias(["scan_schema_drift"], "SELECT * FROM o_ft_region")
 def q_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return load_allocation(TestData(spark, sf), "region")
+    return load_allocation(test_data(spark, sf), "region")
 
 
 @alias(["scan_optional_empty"], "SELECT * FROM o_nav_nofx")
 def q_optional_empty(spark: SparkSession, sf: str) -> DataFrame:
-    src = TestData(spark, sf, missing=("daily_fx_rates",))
+    src = test_data(spark, sf, missing=("daily_fx_rates",))
     return nav_with_fx(load_dataset(spark, src))
 
 
@@ -61,7 +61,7 @@ JOIN_LATEST_SQL = stages.latest_snapshot(
 
 @alias(["join_latest_snapshot"], JOIN_LATEST_SQL)
 def q_join_latest(spark: SparkSession, sf: str) -> DataFrame:
-    h = TestData(spark, sf)["funds_holding"]
+    h = test_data(spark, sf)["funds_holding"]
     return latest_snapshot(h, ["fund_code"], "as_of_date")
 
 
@@ -75,7 +75,7 @@ WHERE a.name IS NOT NULL AND trim(a.name) <> ''""")
 def q_join_latest_multikey(spark: SparkSession, sf: str) -> DataFrame:
     from ..plans.star import latest_allocations
 
-    return latest_allocations(TestData(spark, sf)["funds_allocations"])
+    return latest_allocations(test_data(spark, sf)["funds_allocations"])
 
 
 @alias(["snapshot_then_filter"], "SELECT * FROM o_thai_feeder")
@@ -95,7 +95,7 @@ def q_latest_return(spark: SparkSession, sf: str) -> DataFrame:
 
 @alias(["filter_literal_eq"], "SELECT * FROM o_fx_rates")
 def q_filter_literal_eq(spark: SparkSession, sf: str) -> DataFrame:
-    return load_fx_rates(spark, TestData(spark, sf))
+    return load_fx_rates(spark, test_data(spark, sf))
 
 
 @alias(["filter_nonblank", "str_upper_trim"], "SELECT * FROM o_thai_isin")

@@ -1 +1,144 @@
-"""Registry module."""
+"""Serving keys: views, search, dashboard maths, payload."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import config
+from ..oracle import stages  # noqa: F401
+from ..oracle.ctes import define
+from ..oracle.stages import dsum, strip
+from ..plans import serving as sv
+from ..plans.exposure import alloc_order, holding_order
+from .common import mart
+from .core import alias
+
+SEARCH_ORDER = ("total_true_value_thb DESC NULLS LAST, fund_code NULLS LAST, holding_name NULLS LAST, "
+                "holding_ticker NULLS LAST, holding_type NULLS LAST")
+FUND_QUERY = "F1"
+ASSET_QUERY = "Ring"
+DONUT_K = 5
+
+define("o_search_by_fund", f"""
+SELECT fund_code, min(holding_name) AS holding_name, nullif(holding_ticker_norm, '') AS holding_ticker, holding_type,
+       {dsum('true_weight_pct')} AS total_true_weight_pct, {dsum('true_value_thb')} AS total_true_value_thb
+FROM o_stock GROUP BY fund_code, holding_key, holding_ticker_norm, holding_type""")
+
+
+@alias(["search_by_fund"], "SELECT * FROM o_search_by_fund")
+def q_search_by_fund(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.search_by_fund(mart(spark, sf).stock)
+
+
+@alias(["search_by_asset"], "SELECT * FROM o_search_by_fund")
+def q_search_by_asset(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.search_by_asset(mart(spark, sf).stock)
+
+
+@alias(["search_top500"], f"SELECT * FROM o_search_by_fund ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_PAYLOAD_LIMIT}")
+def q_search_top(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.search_top(sv.search_by_fund(mart(spark, sf).stock))
+
+
+@alias(["search_fund_contains"], f"""
+SELECT * FROM o_search_by_fund WHERE contains(lower(coalesce(fund_code, '')), '{FUND_QUERY.lower()}')
+ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_UI_LIMIT}""")
+def q_search_fund_contains(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.search_fund_contains(sv.search_by_fund(mart(spark, sf).stock), FUND_QUERY)
+
+
+@alias(["search_asset_contains"], f"""
+SELECT * FROM o_search_by_fund
+WHERE contains(lower(coalesce(holding_name, '')), '{ASSET_QUERY.lower()}')
+   OR contains(lower(coalesce(holding_ticker, '')), '{ASSET_QUERY.lower()}')
+ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_UI_LIMIT}""")
+def q_search_asset_contains(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.search_asset_contains(sv.search_by_asset(mart(spark, sf).stock), ASSET_QUERY)
+
+
+def _clean(name: str, ticker: str) -> str:
+    s = strip(f"coalesce({name}, '')")
+    t = strip(f"coalesce({ticker}, '')")
+    s1 = f"CASE WHEN length({t}) > 0 AND ends_with(upper({s}), upper({t})) THEN {strip(f'left({s}, length({s}) - length({t}))')} ELSE {s} END"
+    s2 = strip(f"regexp_replace({s1}, '\\s*\\(([A-Z0-9.\\-:]{{2,20}})\\)\\s*$', '')")
+    return f"regexp_replace({s2}, '\\s{{2,}}', ' ', 'g')"
+
+
+define("o_labels", f"""
+SELECT *, coalesce(CASE WHEN clean_name <> '' AND ticker_display <> '' THEN clean_name || ' (' || ticker_display || ')' END,
+                   nullif(clean_name, ''), nullif(ticker_display, ''), '-') AS label
+FROM (SELECT *, split_part(upper({strip("coalesce(holding_ticker, '')")}), ':', 1) AS ticker_display,
+             {_clean('holding_name', 'holding_ticker')} AS clean_name
+      FROM o_top_holdings)""")
+
+
+@alias(["normalize_ticker", "clean_holding_name", "display_label"], "SELECT * FROM o_labels")
+def q_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.holding_labels(mart(spark, sf).top_holdings)
+
+
+@alias(["pct_of_max"], f"""
+SELECT *, total_true_value_thb / greatest(coalesce(max(total_true_value_thb) OVER (), 1.0::DOUBLE), 1.0::DOUBLE) * 100.0::DOUBLE
+       AS pct_of_max
+FROM (SELECT *, row_number() OVER (ORDER BY {stages.HOLDING_ORDER}) AS rank_no FROM o_top_unranked
+      ORDER BY {stages.HOLDING_ORDER} LIMIT {config.TOP_N})""")
+def q_pct_of_max(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.pct_of_max(mart(spark, sf).top_holdings_topn, "total_true_value_thb")
+
+
+def donut_sql(src: str, label: str, k: int, basis: str) -> str:
+    order = "value DESC NULLS LAST, label NULLS LAST"
+    denom = "t.a" if basis == "all" else "st.s"
+    body = f"""
+WITH r AS (SELECT {label} AS label, total_true_value_thb AS value FROM {src}),
+shown AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rank_no FROM r ORDER BY {order} LIMIT {k}),
+t AS (SELECT {dsum('value')} AS a FROM r),
+st AS (SELECT {dsum('value')} AS s FROM shown),
+sl AS (SELECT shown.label, shown.value, shown.rank_no,
+              coalesce(shown.value, 0.0::DOUBLE) / (CASE WHEN coalesce({denom}, 0.0::DOUBLE) <> 0 THEN {denom} ELSE 1.0::DOUBLE END)
+              * 100.0::DOUBLE AS share_pct
+       FROM shown, t, st),
+cum AS (SELECT *, CAST(sum(CAST(floor(share_pct * 1000000.0::DOUBLE + 0.5::DOUBLE) AS DECIMAL(38,0)))
+                 OVER (ORDER BY rank_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) / 1000000.0::DOUBLE AS end_pct
+        FROM sl)
+SELECT label, value, rank_no, share_pct, end_pct - share_pct AS start_pct, end_pct FROM cum"""
+    if basis == "all":
+        body += f"""
+UNION ALL
+SELECT 'Others', t.a - coalesce(st.s, 0.0::DOUBLE), CAST({k + 1} AS BIGINT),
+       (t.a - coalesce(st.s, 0.0::DOUBLE)) / t.a * 100.0::DOUBLE, NULL::DOUBLE, NULL::DOUBLE
+FROM t, st WHERE coalesce(st.s, 0.0::DOUBLE) < t.a"""
+    return body
+
+
+@alias(["topk_with_others", "cumulative_share"], donut_sql("o_sector_agg", "sector_name", DONUT_K, "all"))
+def q_donut_sector(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.donut(mart(spark, sf).sector_agg, "sector_name", "total_true_value_thb", alloc_order("sector_name"),
+                    DONUT_K, "all")
+
+
+@alias(["share_shown_vs_all"], donut_sql("o_country_agg", "region_name", DONUT_K, "shown"))
+def q_donut_country(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.donut(mart(spark, sf).country_agg, "region_name", "total_true_value_thb", alloc_order("region_name"),
+                    DONUT_K, "shown")
+
+
+@alias(["payload_norm_row", "iso_format"], """
+SELECT fund_code, strftime(nav_as_of_date, '%Y-%m-%d') AS nav_as_of_date, aum_native, fund_currency FROM o_stg_nav""")
+def q_norm_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.norm_rows(mart(spark, sf).stg_nav)
+
+
+@alias(["mart_views"], """
+SELECT region_name AS country_name, total_true_weight_pct, total_true_value_thb FROM o_country_agg""")
+def q_views(spark: SparkSession, sf: str) -> DataFrame:
+    m = mart(spark, sf)
+    m.register_views()
+    return spark.table("vw_country_allocation")
+
+
+@alias(["limit1_summary"], """
+SELECT * FROM o_cards LIMIT 1""")
+def q_limit1(spark: SparkSession, sf: str) -> DataFrame:
+    return mart(spark, sf).cards.limit(1)

@@ -13,7 +13,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # AQE re-optimises the remaining plan after every stage; constraint
+    # inference over the many derived columns of these plans dominated
+    # that time (measured: bridge 11.4 s -> 4.5 s at sf0.1). Null-key
+    # filters are written explicitly where they matter.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

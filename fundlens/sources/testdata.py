@@ -67,10 +67,17 @@ def _month(ts: Column) -> Column:
 class TestData:
     """Lazily built adapter views over ``{sf_dir}/{table}.parquet``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, missing: tuple[str, ...] = ()):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, missing: tuple[str, ...] = (), materialize: bool = False
+    ):
+        """``materialize=True`` writes each adapter view once as parquet under
+        ``spark.checkpoint.dir`` and reads it back, so later queries scan a
+        physical source table (with column pruning and filter pushdown)
+        instead of re-running the adapter joins."""
         self.spark = spark
         self.missing = set(missing)
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -82,9 +89,27 @@ class TestData:
     def view(self, name: str) -> DataFrame:
         if name not in self._cache:
             builder: Callable[[TestData], DataFrame] = _BUILDERS[name]
-            self._cache[name] = builder(self)
+            df = builder(self)
+            if self.materialize:
+                df = self._materialized(name, df)
+            self._cache[name] = df
         return self._cache[name]
 
+    def _materialized(self, name: str, df: DataFrame) -> DataFrame:
+        import hashlib
+
+        from ..session import ensure_checkpoint_dir
+
+        root = ensure_checkpoint_dir(self.spark).rstrip("/")
+        tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
+        path = f"{root}/fundlens-sources/{tag}/{name}"
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(hpath):
+            df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self:
             raise KeyError(name)
