@@ -149,6 +149,8 @@ class Mart:
             names.append(name)
         return names
 
+    @cached_property
+    def star(self):
+        from .star import StarSchema
 
-def nonzero(c: str):
-    return F.col(c) != 0
+        return StarSchema(self)

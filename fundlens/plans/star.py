@@ -15,3 +15,298 @@ def latest_allocations(allocations: DataFrame) -> DataFrame:
     a = allocations.where(F.col("type").isin("sector_alloc", "country_alloc"))
     snap = latest_snapshot(a, ["fund_code", "type"], "as_of_date")
     return snap.where(non_blank("name")).select("fund_code", "type", "name", "percent")
+
+
+from collections.abc import Mapping  # noqa: E402
+from functools import cached_property  # noqa: E402
+
+from pyspark.sql import Window  # noqa: E402
+
+from .. import config  # noqa: E402
+from ..functions.numeric import exact_sum, null_to_zero  # noqa: E402
+from ..functions.strings import clean_stock_name, extract_symbol, normalize_ticker, strip_ws  # noqa: E402
+from ..operators.distribution import global_row_number  # noqa: E402
+from ..operators.snapshots import asc, first_per_key  # noqa: E402
+
+
+def classify_instrument(type_col: str = "type"):
+    """FUND / UNIT / TRUST in upper(type) -> master-fund holding."""
+    return F.upper(F.coalesce(F.col(type_col), F.lit(""))).rlike("|".join(config.MASTER_KEYWORDS))
+
+
+def topk_per_group(df: DataFrame, group: list[str], order: list, k: int, salt_cols: list[str],
+                   buckets: int = 16, name: str = "rank_no") -> DataFrame:
+    """Top-k rows per group, safe for a group holding a third of all rows:
+    rank inside (group, salt) first, keep k, then rank the <= k * buckets
+    survivors per group. ``order`` must be a total order."""
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)))
+    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
+    pre = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
+    w2 = Window.partitionBy(*group).orderBy(*order)
+    return pre.withColumn(name, F.row_number().over(w2).cast("long")).where(F.col(name) <= k)
+
+
+class StarSchema:
+    """3 dimensions + 5 facts from the local source and the mart."""
+
+    def __init__(self, m):
+        self.m = m
+        self.src: Mapping[str, DataFrame] = m.src
+
+    @cached_property
+    def dim_funds(self) -> DataFrame:
+        """A23 + J19 + W8."""
+        fm = self.src["funds_master_info"].select(
+            "fund_code", "full_name_th", "full_name_en", "amc", "category", "risk_level")
+        perf = self.src["funds_performance"].select("fund_code", "total_return_1y")
+        j = fm.join(perf, "fund_code", "left")
+        j = j.select(
+            F.col("full_name_th").alias("name_th"), F.col("full_name_en").alias("name_en"), "amc", "category",
+            F.col("fund_code").alias("code"), "risk_level", F.col("total_return_1y").alias("return_1y"),
+        )
+        return global_row_number(j, [F.col("code").asc_nulls_last()], "id")
+
+    @cached_property
+    def thai_holdings(self) -> DataFrame:
+        """J1 + J18 + J20: newest holdings of known funds with AUM and value."""
+        h = latest_snapshot(self.src["funds_holding"], ["fund_code"], "as_of_date").select(
+            "fund_code", "symbol", F.col("name").alias("holding_name"), "sector", "percent", "type")
+        aum = self.m.ds.thai_nav_aum.select("fund_code", "aum")
+        h = h.join(aum, "fund_code", "left")
+        funds = self.dim_funds.select(F.col("code").alias("fund_code"), F.col("id").alias("fund_id"))
+        h = h.join(funds, "fund_code", "inner")
+        pct = null_to_zero("percent")
+        aum0 = null_to_zero("aum")
+        return h.select(
+            "fund_code", "fund_id", "symbol", "holding_name", "sector", "type",
+            pct.alias("percent"), aum0.alias("aum"), ((pct * aum0) / 100.0).alias("value_thb"),
+            classify_instrument("type").alias("is_master"),
+        )
+
+    @cached_property
+    def master_rows(self) -> DataFrame:
+        h = self.thai_holdings.where(F.col("is_master"))
+        # Q14: a missing master name is dropped (not turned into text)
+        return h.withColumn("m_name", strip_ws("holding_name")).where(F.col("holding_name").isNotNull())
+
+    @cached_property
+    def dim_master_funds(self) -> DataFrame:
+        """A22 + W8."""
+        names = self.master_rows.select(F.col("m_name").alias("name_en")).distinct()
+        d = names.select("name_en", F.lit(config.MASTER_AMC).alias("amc"), F.lit(config.MASTER_CATEGORY).alias("category"))
+        return global_row_number(d, [F.col("name_en").asc_nulls_last()], "id")
+
+    @cached_property
+    def fact_master_holdings(self) -> DataFrame:
+        """A25."""
+        d = self.dim_master_funds.select(F.col("name_en").alias("m_name"), F.col("id").alias("master_fund_id"))
+        j = self.master_rows.join(d, "m_name", "inner")
+        return j.select("fund_id", "master_fund_id", F.col("value_thb").alias("holding_value_thb"),
+                        F.col("percent").alias("percent_nav"))
+
+    @cached_property
+    def direct_rows(self) -> DataFrame:
+        """C4 + C5 on direct holdings; rows without a symbol are skipped."""
+        h = self.thai_holdings.where(~F.col("is_master"))
+        h = h.withColumn("sym", extract_symbol("symbol", "symbol")).where(F.col("sym").isNotNull())
+        return h.withColumn("full_name", clean_stock_name("holding_name", "sym"))
+
+    @cached_property
+    def fx_holdings(self) -> DataFrame:
+        s = self.m.stock.where(F.col("holding_ticker_norm").isNotNull() & (F.col("holding_ticker_norm") != ""))
+        return s.select("fund_code", "holding_name", F.col("holding_ticker_norm").alias("symbol"),
+                        F.col("true_weight_pct").alias("pct_nav"), F.col("true_value_thb").alias("holding_value_thb"))
+
+    @cached_property
+    def dim_stocks(self) -> DataFrame:
+        """A21 + W8: local symbols first, then unseen look-through symbols."""
+        th = self.direct_rows.select(
+            F.col("sym").alias("symbol"), "full_name", "sector", F.lit(config.STOCK_TYPE_TH).alias("stock_type"),
+            F.lit(config.TH_COUNTRY).alias("country"), F.lit(0).alias("origin"), "fund_code")
+        fx = self.fx_holdings.select(
+            "symbol", clean_stock_name("holding_name", "symbol").alias("full_name"),
+            F.lit(config.FOREIGN_SECTOR).alias("sector"), F.lit(config.STOCK_TYPE_FOREIGN).alias("stock_type"),
+            F.lit(config.FOREIGN_COUNTRY).alias("country"), F.lit(1).alias("origin"), "fund_code")
+        first = first_per_key(th.unionByName(fx), ["symbol"],
+                              [asc("origin"), asc("fund_code"), asc("full_name"), asc("sector")])
+        d = first.select("symbol", "full_name", "sector", "stock_type", F.lit(0.0).alias("percent_change"),
+                         "country", "origin")
+        ranked = global_row_number(d, [F.col("origin").asc(), F.col("symbol").asc_nulls_last()], "id")
+        return ranked.drop("origin")
+
+    @cached_property
+    def fact_direct_holdings(self) -> DataFrame:
+        """A24."""
+        s = self.dim_stocks.select(F.col("symbol").alias("sym"), F.col("id").alias("stock_id"))
+        j = self.direct_rows.join(s, "sym", "inner")
+        return j.select("fund_id", "stock_id", F.lit(1).alias("ranking"), F.col("value_thb").alias("holding_value_thb"),
+                        F.col("aum").alias("nav_thb"), F.col("percent").alias("percent_nav"))
+
+    @cached_property
+    def master_fund_holdings(self) -> DataFrame:
+        """Each look-through holding attached to its fund's first master
+        (smallest master id); one row per (master, stock), first weight wins."""
+        first_master = self.fact_master_holdings.groupBy("fund_id").agg(F.min("master_fund_id").alias("master_fund_id"))
+        funds = self.dim_funds.select(F.col("code").alias("fund_code"), F.col("id").alias("fund_id"))
+        stocks = self.dim_stocks.select("symbol", F.col("id").alias("stock_id"))
+        fx = self.fx_holdings.join(funds, "fund_code", "inner").join(first_master, "fund_id", "inner")
+        fx = fx.join(stocks, "symbol", "inner").withColumn("pct", null_to_zero("pct_nav"))
+        return fx.groupBy("master_fund_id", "stock_id").agg(
+            F.min_by("pct", F.struct("fund_code", "holding_name", "pct")).alias("percent_weight"))
+
+    @cached_property
+    def alloc_rows(self) -> DataFrame:
+        a = latest_allocations(self.src["funds_allocations"])
+        funds = self.dim_funds.select(F.col("code").alias("fund_code"), F.col("id").alias("fund_id"))
+        a = a.join(funds, "fund_code", "inner")
+        return a.select("fund_code", "fund_id", F.lower(strip_ws("type")).alias("alloc_type"),
+                        strip_ws("name").alias("alloc_name"), null_to_zero("percent").alias("percentage"))
+
+    def breakdown(self, kind: str) -> DataFrame:
+        """Sector or country breakdown per fund."""
+        label = "sector_name" if kind == "sector" else "country_name"
+        a = self.alloc_rows.where(F.col("alloc_type") == f"{kind}_alloc")
+        return a.select("fund_id", F.col("alloc_name").alias(label), "percentage")
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "stocks": self.dim_stocks,
+            "funds": self.dim_funds,
+            "master_funds": self.dim_master_funds,
+            "fund_direct_holdings": self.fact_direct_holdings,
+            "fund_master_holdings": self.fact_master_holdings,
+            "master_fund_holdings": self.master_fund_holdings,
+            "fund_sector_breakdown": self.breakdown("sector"),
+            "fund_country_breakdown": self.breakdown("country"),
+        }
+
+    # ---------------- contract outputs (G1-G10) ----------------
+    def top_thai_holdings(self) -> DataFrame:
+        """G1: direct holdings by symbol, ranked by value."""
+        d = self.direct_rows.groupBy("sym").agg(
+            exact_sum("value_thb").alias("total_thai_fund_value"),
+            exact_sum("percent").alias("total_weight_pct"),
+            F.countDistinct("fund_code").cast("long").alias("fund_count"),
+        )
+        names = self.dim_stocks.select(F.col("symbol").alias("sym"), "full_name")
+        d = d.join(names, "sym", "left").withColumnRenamed("sym", "symbol")
+        return global_row_number(
+            d, [F.col("total_thai_fund_value").desc_nulls_last(), F.col("symbol").asc_nulls_last()], "rank_no")
+
+    def top_global_traceability(self) -> DataFrame:
+        """Look-through top holdings under the payload names."""
+        return self.m.top_holdings.select(
+            "rank_no", "holding_key", "holding_ticker", "holding_name", "holding_type",
+            F.col("total_true_weight_pct").alias("total_weight_pct"),
+            F.col("total_true_value_thb").alias("global_fund_value"))
+
+    def thai_alloc_value(self) -> DataFrame:
+        aum = self.m.ds.thai_nav_aum.select("fund_code", null_to_zero("aum").alias("aum"))
+        a = self.alloc_rows.join(aum, "fund_code", "left")
+        return a.select(
+            F.when(F.col("alloc_type") == "sector_alloc", "sector").otherwise("country").alias("dimension"),
+            F.col("alloc_name").alias("name"),
+            ((F.col("percentage") * null_to_zero("aum")) / 100.0).alias("value_thb"),
+            F.col("percentage").alias("weight_pct"))
+
+    def scoped_exposure(self) -> DataFrame:
+        """Sector / country exposure for scopes TH, FOREIGN and ALL."""
+        th = self.thai_alloc_value().groupBy("dimension", "name").agg(
+            exact_sum("value_thb").alias("total_value_thb"), exact_sum("weight_pct").alias("total_weight_pct"))
+        th = th.withColumn("scope", F.lit("TH"))
+        fs = self.m.sector_agg.select(F.lit("sector").alias("dimension"), F.col("sector_name").alias("name"),
+                                      F.col("total_true_value_thb").alias("total_value_thb"),
+                                      F.col("total_true_weight_pct").alias("total_weight_pct"))
+        fc = self.m.country_agg.select(F.lit("country").alias("dimension"), F.col("region_name").alias("name"),
+                                       F.col("total_true_value_thb").alias("total_value_thb"),
+                                       F.col("total_true_weight_pct").alias("total_weight_pct"))
+        foreign = fs.unionByName(fc).withColumn("scope", F.lit("FOREIGN"))
+        both = th.unionByName(foreign)
+        al = both.groupBy("dimension", "name").agg(
+            exact_sum("total_value_thb").alias("total_value_thb"),
+            exact_sum("total_weight_pct").alias("total_weight_pct")).withColumn("scope", F.lit("ALL"))
+        return both.unionByName(al).select("scope", "dimension", "name", "total_value_thb", "total_weight_pct")
+
+    def scoped_cards(self) -> DataFrame:
+        """One card row per scope (TH, FOREIGN, ALL)."""
+        ex = self.scoped_exposure()
+        top = first_per_key(
+            ex.select("scope", "dimension", "name", (-F.col("total_value_thb")).alias("neg")),
+            ["scope", "dimension"], [asc("neg"), asc("name")])
+        top_sector = top.where(F.col("dimension") == "sector").select("scope", F.col("name").alias("top_sector_name"))
+        top_country = top.where(F.col("dimension") == "country").select("scope", F.col("name").alias("top_country_name"))
+        th_rows = self.thai_holdings.select("fund_code", "value_thb")
+        th = th_rows.agg(exact_sum("value_thb").alias("total_value_thb"),
+                         F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn("scope", F.lit("TH"))
+        fx_rows = self.m.stock.select("fund_code", F.col("true_value_thb").alias("value_thb"))
+        fo = fx_rows.agg(exact_sum("value_thb").alias("total_value_thb"),
+                         F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn(
+            "scope", F.lit("FOREIGN"))
+        al = th_rows.unionByName(fx_rows).agg(exact_sum("value_thb").alias("total_value_thb"),
+                                               F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn(
+            "scope", F.lit("ALL"))
+        cards = th.unionByName(fo).unionByName(al)
+        cards = cards.join(top_sector, "scope", "left").join(top_country, "scope", "left")
+        return cards.select("scope", F.coalesce("total_value_thb", F.lit(0.0)).alias("total_value_thb"),
+                            "top_sector_name", "top_country_name", "fund_count")
+
+    def search_asset_to_funds(self, k: int = config.TOP_N) -> DataFrame:
+        """Per asset, its k largest funds (value, % of fund NAV, method)."""
+        s = self.m.stock.groupBy("holding_key", "fund_code", "map_method").agg(
+            exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"))
+        order = [F.col("value_thb").desc_nulls_last(), F.col("fund_code").asc(), F.col("map_method").asc_nulls_last()]
+        return topk_per_group(s, ["holding_key"], order, k, ["fund_code", "map_method"])
+
+    def search_fund_to_assets(self, k: int = config.TOP_N) -> DataFrame:
+        """Per fund, its k largest look-through assets."""
+        s = self.m.stock.groupBy("fund_code", "holding_key").agg(
+            exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"))
+        order = [F.col("value_thb").desc_nulls_last(), F.col("holding_key").asc()]
+        return topk_per_group(s, ["fund_code"], order, k, ["holding_key"])
+
+    def stock_aggregates(self) -> DataFrame:
+        """Local and look-through exposure per symbol (full outer join of
+        two per-symbol aggregates)."""
+        th = self.direct_rows.groupBy(F.col("sym").alias("symbol")).agg(
+            exact_sum("value_thb").alias("thai_value_thb"), exact_sum("percent").alias("thai_weight_pct"),
+            F.countDistinct("fund_code").cast("long").alias("thai_fund_count"))
+        gl = self.fx_holdings.groupBy(normalize_ticker("symbol").alias("symbol")).agg(
+            exact_sum("holding_value_thb").alias("global_value_thb"), exact_sum("pct_nav").alias("global_weight_pct"),
+            F.countDistinct("fund_code").cast("long").alias("global_fund_count"))
+        j = th.join(gl, "symbol", "full")
+        z = F.lit(0.0)
+        return j.select(
+            "symbol",
+            F.coalesce("thai_value_thb", z).alias("thai_value_thb"),
+            F.coalesce("global_value_thb", z).alias("global_value_thb"),
+            (F.coalesce("thai_value_thb", z) + F.coalesce("global_value_thb", z)).alias("total_exposure_thb"),
+            (F.coalesce("thai_weight_pct", z) + F.coalesce("global_weight_pct", z)).alias("total_weight_pct"),
+            (F.coalesce("thai_fund_count", F.lit(0)) + F.coalesce("global_fund_count", F.lit(0))).cast("long")
+            .alias("fund_count"))
+
+    def suggestions(self) -> DataFrame:
+        """Search keywords for funds and stocks, default priority 100."""
+        f = self.dim_funds
+        s = self.dim_stocks
+        parts = [
+            f.select(F.col("code").alias("keyword"), F.lit("fund").alias("item_type"), F.col("id").alias("item_id")),
+            f.select(F.col("name_en").alias("keyword"), F.lit("fund").alias("item_type"), F.col("id").alias("item_id")),
+            s.select(F.col("symbol").alias("keyword"), F.lit("stock").alias("item_type"), F.col("id").alias("item_id")),
+            s.select(F.col("full_name").alias("keyword"), F.lit("stock").alias("item_type"), F.col("id").alias("item_id")),
+        ]
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        return u.where(F.col("keyword").isNotNull() & (F.col("keyword") != "")).withColumn("priority", F.lit(100))
+
+    def investment_method(self) -> DataFrame:
+        """Direct / Feeder Fund / Other per holding row, summarised."""
+        h = self.thai_holdings.withColumn("sym", extract_symbol("symbol", "symbol"))
+        method = F.when(F.col("is_master"), "Feeder Fund").when(F.col("sym").isNotNull(), "Direct").otherwise("Other")
+        return h.groupBy(method.alias("investment_method")).agg(
+            F.count(F.lit(1)).alias("holding_rows"), exact_sum("value_thb").alias("total_value_thb"))
+
+    def stock_type_counts(self) -> DataFrame:
+        """Stock types emitted (TH / FOREIGN; GOLD stays accepted)."""
+        return self.dim_stocks.groupBy("stock_type").agg(F.count(F.lit(1)).alias("stocks")).withColumn(
+            "accepted", F.col("stock_type").isin(*config.STOCK_TYPES))
