@@ -153,3 +153,57 @@ def serving_views(m) -> dict[str, DataFrame]:
         "vw_search_by_asset": search_by_asset(m.stock),
         "vw_nav_aum_thb": m.vw_nav_aum_thb,
     }
+
+
+def payload_items(m) -> DataFrame:
+    """The dashboard payload as a long table, one row per list
+    item: (section, position, name, value_thb, weight_pct). Lists are ordered
+    by ``position``; a JSON-lines writer emits it in parallel."""
+    from ..operators.distribution import global_row_number
+
+    cards = m.cards.limit(1).select(
+        F.lit("dashboard_summary").alias("section"), F.lit(1).cast("long").alias("position"),
+        F.col("top_sector_name").alias("name"), F.col("total_holdings_value_thb").alias("value_thb"),
+        F.col("top_sector_weight_pct").alias("weight_pct"))
+    top = m.top_holdings_topn.select(
+        F.lit("top_global_traceability_top10").alias("section"), F.col("rank_no").alias("position"),
+        F.col("holding_name").alias("name"), F.col("total_true_value_thb").alias("value_thb"),
+        F.col("total_true_weight_pct").alias("weight_pct"))
+
+    def alloc(df: DataFrame, label: str, section: str) -> DataFrame:
+        ranked = global_row_number(df, [F.col("total_true_value_thb").desc_nulls_last(), F.col(label).asc_nulls_last()],
+                                   "position")
+        return ranked.select(F.lit(section).alias("section"), "position", F.col(label).alias("name"),
+                             F.col("total_true_value_thb").alias("value_thb"),
+                             F.col("total_true_weight_pct").alias("weight_pct"))
+
+    search = search_top(search_by_fund(m.stock))
+    # at most SEARCH_PAYLOAD_LIMIT rows: a bounded window
+    search = search.withColumn("position", F.row_number().over(Window.orderBy(*search_order())).cast("long"))
+    search = search.select(F.lit("search_by_fund").alias("section"), "position", F.col("fund_code").alias("name"),
+                           F.col("total_true_value_thb").alias("value_thb"),
+                           F.col("total_true_weight_pct").alias("weight_pct"))
+    parts = [cards, top, alloc(m.sector_agg, "sector_name", "sector_allocation_global"),
+             alloc(m.country_agg, "region_name", "country_allocation_global"), search]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def write_payload(items: DataFrame, path: str) -> None:
+    """S9 sink: JSON lines, one file set per section (parallel writers)."""
+    norm_rows(items).write.mode("overwrite").partitionBy("section").json(path)
+
+
+def round_summary(cards: DataFrame) -> DataFrame:
+    """M9: summary rounding (2 and 4 digits) and display units (billions,
+    one-digit percent)."""
+    return cards.select(
+        "mapped_fund_count", "mapped_master_count",
+        F.round("total_holdings_value_thb", 2).alias("total_holdings_value_thb"),
+        "top_sector_name", F.round(F.coalesce("top_sector_weight_pct", F.lit(0.0)), 4).alias("top_sector_weight_pct"),
+        "top_country_name", F.round(F.coalesce("top_country_weight_pct", F.lit(0.0)), 4).alias("top_country_weight_pct"),
+        F.round(F.col("total_holdings_value_thb") / 1e9, 0).alias("total_billions"),
+        F.round("top_sector_weight_pct", 1).alias("top_sector_pct_1dp"),
+    )

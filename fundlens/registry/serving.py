@@ -142,3 +142,68 @@ def q_views(spark: SparkSession, sf: str) -> DataFrame:
 SELECT * FROM o_cards LIMIT 1""")
 def q_limit1(spark: SparkSession, sf: str) -> DataFrame:
     return mart(spark, sf).cards.limit(1)
+
+
+define("o_payload_items", f"""
+SELECT 'dashboard_summary' AS section, CAST(1 AS BIGINT) AS position, top_sector_name AS name,
+       total_holdings_value_thb AS value_thb, top_sector_weight_pct AS weight_pct FROM (SELECT * FROM o_cards LIMIT 1)
+UNION ALL
+SELECT 'top_global_traceability_top10', rank_no, holding_name, total_true_value_thb, total_true_weight_pct FROM (
+  SELECT *, row_number() OVER (ORDER BY {stages.HOLDING_ORDER}) AS rank_no FROM o_top_unranked
+  ORDER BY {stages.HOLDING_ORDER} LIMIT {config.TOP_N})
+UNION ALL
+SELECT 'sector_allocation_global', row_number() OVER (ORDER BY total_true_value_thb DESC NULLS LAST, sector_name NULLS LAST),
+       sector_name, total_true_value_thb, total_true_weight_pct FROM o_sector_agg
+UNION ALL
+SELECT 'country_allocation_global', row_number() OVER (ORDER BY total_true_value_thb DESC NULLS LAST, region_name NULLS LAST),
+       region_name, total_true_value_thb, total_true_weight_pct FROM o_country_agg
+UNION ALL
+SELECT 'search_by_fund', row_number() OVER (ORDER BY {SEARCH_ORDER}), fund_code, total_true_value_thb, total_true_weight_pct
+FROM (SELECT * FROM o_search_by_fund ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_PAYLOAD_LIMIT})""")
+
+
+@alias(["dashboard_payload", "payload_export"], "SELECT * FROM o_payload_items")
+def q_payload(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.payload_items(mart(spark, sf))
+
+
+@alias(["round_summary"], """
+SELECT mapped_fund_count, mapped_master_count, round(total_holdings_value_thb, 2) AS total_holdings_value_thb,
+       top_sector_name, round(coalesce(top_sector_weight_pct, 0.0::DOUBLE), 4) AS top_sector_weight_pct,
+       top_country_name, round(coalesce(top_country_weight_pct, 0.0::DOUBLE), 4) AS top_country_weight_pct,
+       round(total_holdings_value_thb / 1e9, 0) AS total_billions, round(top_sector_weight_pct, 1) AS top_sector_pct_1dp
+FROM o_cards""")
+def q_round(spark: SparkSession, sf: str) -> DataFrame:
+    return sv.round_summary(mart(spark, sf).cards)
+
+
+@alias(["sort_multi_nulls_last"], """
+SELECT *, row_number() OVER (ORDER BY coverage_ratio DESC NULLS LAST, raw_total_fund_holdings_pct ASC NULLS LAST,
+                             fund_code ASC NULLS LAST) AS position FROM o_coverage""")
+def q_sort_multi(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.distribution import global_row_number
+
+    cov = mart(spark, sf).coverage
+    order = [F.col("coverage_ratio").desc_nulls_last(), F.col("raw_total_fund_holdings_pct").asc_nulls_last(),
+             F.col("fund_code").asc_nulls_last()]
+    return global_row_number(cov, order, "position")
+
+
+@alias(["mart_write_replace"], " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {src}"
+    for t, src in __import__("fundlens.registry.quality", fromlist=["MART_SRC"]).MART_SRC.items()))
+def q_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Write all 14 mart tables (overwrite) under the shared checkpoint
+    folder, then count what was written."""
+    import hashlib
+    from functools import reduce
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources.sinks import write_tables
+
+    m = mart(spark, sf)
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/fundlens-mart/" + hashlib.sha1(sf.encode()).hexdigest()[:12]
+    paths = write_tables(m.tables(), root)
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+             for t, p in paths.items()]
+    return reduce(DataFrame.unionByName, parts)
