@@ -89,7 +89,9 @@ def clean_stock_name(full_name: Column | str, symbol: Column | str) -> Column:
     n = col_(full_name)
     s = strip_ws(col_(symbol))
     t = strip_ws(n)
-    body = F.when(t.endswith(s), strip_ws(F.left(t, F.length(t) - F.length(s)))).otherwise(t)
+    # a blank symbol "ends" every name and slicing by its zero length empties it
+    body = (F.when(s == "", F.lit("")).when(t.endswith(s), strip_ws(F.left(t, F.length(t) - F.length(s))))
+            .otherwise(t))
     cleaned = strip_ws(F.regexp_replace(body, STOCK_NAME_DISALLOWED, ""))
     return F.when(n.isNull() | (n == "") | col_(symbol).isNull() | (col_(symbol) == ""), n).otherwise(cleaned)
 

@@ -33,7 +33,7 @@ FROM o_master_rows r JOIN o_dim_master d ON r.m_name = d.name_en""")
 
 def clean_stock(name: str, sym: str) -> str:
     n, s = strip(name), strip(sym)
-    body = f"CASE WHEN ends_with({n}, {s}) THEN {strip(f'left({n}, length({n}) - length({s}))')} ELSE {n} END"
+    body = f"CASE WHEN {s} = '' THEN '' WHEN ends_with({n}, {s}) THEN {strip(f'left({n}, length({n}) - length({s}))')} ELSE {n} END"
     cleaned = strip(f"regexp_replace({body}, '[^A-Za-z0-9\\s.,&()\\-]', '', 'g')")
     return f"CASE WHEN {name} IS NULL OR {name} = '' OR {sym} IS NULL OR {sym} = '' THEN {name} ELSE {cleaned} END"
 
