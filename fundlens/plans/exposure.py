@@ -154,19 +154,19 @@ def fund_returns(bok: DataFrame, ft_return: DataFrame, nav: DataFrame) -> DataFr
     return j.join(nav.select("fund_code", "aum"), "fund_code", "left")
 
 
-def weighted_avg(df: DataFrame, col: str, weight: str = "aum") -> DataFrame:
-    """A10: AUM-weighted mean over rows with a value and AUM > 0; null if none.
-    One-row aggregate with exact (decimal) sums."""
+def weighted_avg(col: str, weight: str = "aum"):
+    """A10: AUM-weighted mean over rows with a value and AUM > 0; null if none
+    (an aggregate Column with exact sums)."""
     ok = F.col(col).isNotNull() & F.col(weight).isNotNull() & (F.col(weight) > 0)
     num = exact_sum(F.when(ok, F.col(col) * F.col(weight)))
     den = exact_sum(F.when(ok, F.col(weight)))
-    return df.agg(F.try_divide(num, F.nullif(den, F.lit(0.0))).alias(col))
+    return F.try_divide(num, F.nullif(den, F.lit(0.0))).alias(col)
 
 
 def avg_fund_return(bok: DataFrame, ft_return: DataFrame, nav: DataFrame) -> DataFrame:
-    """One row with both weighted returns."""
+    """One row with both weighted returns (one aggregate)."""
     fr = fund_returns(bok, ft_return, nav)
-    return combine_rows([weighted_avg(fr, "avg_fund_return_1y"), weighted_avg(fr, "avg_fund_return_3y")])
+    return fr.agg(weighted_avg("avg_fund_return_1y"), weighted_avg("avg_fund_return_3y"))
 
 
 def holding_order() -> list:

@@ -18,10 +18,14 @@ from .navfx import nav_with_fx, stg_nav_aum_native, vw_nav_aum_thb
 class Mart:
     """All mart tables of one build. Each attribute is a lazy DataFrame.
 
-    ``materialize=True`` checkpoints the two frames every output reads
-    (mapped bridge and NAV) into ``spark.checkpoint.dir`` so a full build
-    computes them once and survives executor loss without recomputing the
-    whole lineage.
+    Frames read by several outputs (mapped bridge, NAV, the three facts) are
+    shared through ``reuse``:
+      * "persist" (default): MEMORY_AND_DISK cache; Catalyst substitutes the
+        cached data wherever the same plan occurs, so one query or one build
+        computes each of them once; a lost block is recomputed from lineage;
+      * "checkpoint": written to ``spark.checkpoint.dir`` (cuts lineage for
+        long builds; survives executor loss without recomputation);
+      * None: plain lazy plans.
     """
 
     def __init__(
@@ -30,21 +34,25 @@ class Mart:
         src: Mapping[str, DataFrame],
         base_ccy: str = config.BASE_CCY,
         top_n: int = config.TOP_N,
-        materialize: bool = False,
+        reuse: str | None = "persist",
     ):
         self.spark = spark
         self.src = src
         self.base_ccy = base_ccy
         self.n = top_n
-        self.materialize = materialize
+        self.reuse = reuse
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        from ..session import ensure_checkpoint_dir
+        if self.reuse == "persist":
+            from pyspark import StorageLevel
 
-        ensure_checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.reuse == "checkpoint":
+            from ..session import ensure_checkpoint_dir
+
+            ensure_checkpoint_dir(self.spark)
+            return df.checkpoint(eager=True)
+        return df
 
     @cached_property
     def ds(self) -> Dataset:
@@ -68,15 +76,15 @@ class Mart:
 
     @cached_property
     def stock(self) -> DataFrame:
-        return ex.fact_exposure_stock(self.bridge_ok, self.ds.ft_holdings, self.nav)
+        return self._keep(ex.fact_exposure_stock(self.bridge_ok, self.ds.ft_holdings, self.nav))
 
     @cached_property
     def sector(self) -> DataFrame:
-        return ex.fact_exposure_sector(self.bridge_ok, self.ds.ft_sector, self.nav)
+        return self._keep(ex.fact_exposure_sector(self.bridge_ok, self.ds.ft_sector, self.nav))
 
     @cached_property
     def region(self) -> DataFrame:
-        return ex.fact_exposure_region(self.bridge_ok, self.ds.ft_region, self.nav)
+        return self._keep(ex.fact_exposure_region(self.bridge_ok, self.ds.ft_region, self.nav))
 
     @cached_property
     def coverage(self) -> DataFrame:
