@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,16 +62,26 @@ def _sort_key(types: dict[str, T.DataType], term: By, i: int) -> list[Column]:
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[By]) -> DataFrame:
     """First row per key under ``order`` (pandas sort + drop_duplicates /
     SQL ROW_NUMBER() = 1). Null keys form one group. Remaining ties are
-    broken by the full row, so the result is deterministic."""
+    broken by the other columns ascending (nulls first), so the result is
+    deterministic.
+
+    Planned as ``row_number() = 1``, which Spark turns into a partial
+    WindowGroupLimit before the shuffle: every map task keeps one row per
+    key, so a key holding a third of all rows is reduced map-side (like a
+    partial aggregate) and the final window sorts at most one row per map
+    task and key."""
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    order_fields: list[Column] = []
-    for i, term in enumerate(order):
-        order_fields.extend(_sort_key(types, term, i))
-    packed = F.struct(F.struct(*order_fields).alias("o"), F.struct(*[F.col(c) for c in payload]).alias("p"))
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_m"))
-    return agg.select(*[F.col(k) for k in keys], *[F.col("_m.p." + c).alias(c) for c in payload]).select(*df.columns)
+    sort = []
+    for term in order:
+        c = _as_col(term.col)
+        if term.desc:
+            sort.append(c.desc_nulls_last() if term.nulls_last else c.desc_nulls_first())
+        else:
+            sort.append(c.asc_nulls_last() if term.nulls_last else c.asc_nulls_first())
+    sort.extend(F.col(c).asc_nulls_first() for c in payload)
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
