@@ -76,15 +76,30 @@ class Mart:
 
     @cached_property
     def stock(self) -> DataFrame:
-        return self._keep(ex.fact_exposure_stock(self.bridge_ok, self.ds.ft_holdings, self.nav))
+        return ex.fact_exposure_stock(self.bridge_ok, self.ds.ft_holdings, self.nav)
 
     @cached_property
     def sector(self) -> DataFrame:
-        return self._keep(ex.fact_exposure_sector(self.bridge_ok, self.ds.ft_sector, self.nav))
+        return ex.fact_exposure_sector(self.bridge_ok, self.ds.ft_sector, self.nav)
 
     @cached_property
     def region(self) -> DataFrame:
-        return self._keep(ex.fact_exposure_region(self.bridge_ok, self.ds.ft_region, self.nav))
+        return ex.fact_exposure_region(self.bridge_ok, self.ds.ft_region, self.nav)
+
+    # Shared copies of the facts for outputs that read them several times
+    # (cards, quality report). A single reader uses the plain plan: building
+    # the columnar cache of a wide fact costs more than one recomputation.
+    @cached_property
+    def stock_shared(self) -> DataFrame:
+        return self._keep(self.stock)
+
+    @cached_property
+    def sector_shared(self) -> DataFrame:
+        return self._keep(self.sector)
+
+    @cached_property
+    def region_shared(self) -> DataFrame:
+        return self._keep(self.region)
 
     @cached_property
     def coverage(self) -> DataFrame:
@@ -104,11 +119,11 @@ class Mart:
 
     @cached_property
     def sector_agg(self) -> DataFrame:
-        return ex.agg_sector_exposure(self.sector)
+        return ex.agg_sector_exposure(self.sector_shared)
 
     @cached_property
     def region_agg(self) -> DataFrame:
-        return ex.agg_region_exposure(self.region)
+        return ex.agg_region_exposure(self.region_shared)
 
     @cached_property
     def country_agg(self) -> DataFrame:
@@ -116,7 +131,7 @@ class Mart:
 
     @cached_property
     def cards(self) -> DataFrame:
-        return ex.dashboard_cards(self.stock, self.sector_agg, self.country_agg, self.returns, self.bridge_ok)
+        return ex.dashboard_cards(self.stock_shared, self.sector_agg, self.country_agg, self.returns, self.bridge_ok)
 
     def sector_topn(self) -> DataFrame:
         return self.sector_agg.orderBy(*ex.alloc_order("sector_name")).limit(self.n)
