@@ -45,11 +45,6 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(col_(c), F.lit(""))
 
 
-def is_blank(c: Column | str) -> Column:
-    """True for null or whitespace-only text."""
-    return F.coalesce(F.trim(col_(c)) == "", F.lit(True))
-
-
 def non_blank(c: Column | str) -> Column:
     """P5: non-null and TRIM(x) <> ''."""
     return col_(c).isNotNull() & (F.trim(col_(c)) != "")

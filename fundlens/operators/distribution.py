@@ -42,11 +42,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def one_row(df: DataFrame) -> DataFrame:
-    """Mark a global aggregate (exactly one row by construction) for broadcast."""
-    return F.broadcast(df)
-
-
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate ``scalars`` to every row."""
     left = df.withColumn("_one", F.lit(1))

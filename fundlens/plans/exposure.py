@@ -15,7 +15,6 @@ from .. import config
 from ..functions.numeric import clip_range, exact_sum, pct_product, safe_ratio, share_pct, to_float, to_float0
 from ..functions.strings import holding_key, is_country_label, norm_code
 from ..operators.distribution import attach_scalars, combine_rows, global_row_number, top_n
-from .loaders import Dataset
 
 STOCK_COLS = [
     "fund_code",

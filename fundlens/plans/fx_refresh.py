@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.dates import date_age_days, unix_to_date
-from ..operators.snapshots import asc, desc, first_per_key
+from ..operators.snapshots import desc, first_per_key
 
 PAYLOAD_SCHEMA = "rates map<string,double>, time_last_update_unix bigint, provider string, documentation string"
 

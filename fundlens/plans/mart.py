@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import config
 from . import exposure as ex

@@ -82,10 +82,6 @@ def pct_of_max(shown: DataFrame, value: str) -> DataFrame:
     return out.withColumn("pct_of_max", F.col(value) / denom * 100.0).drop("_max")
 
 
-def _units(c: str):
-    return F.floor(F.col(c) * SUM_SCALE + 0.5).cast("decimal(38,0)")
-
-
 def donut(
     rows: DataFrame, label: str, value: str, order: list, k: int, basis: str = "all"
 ) -> DataFrame:

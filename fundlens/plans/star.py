@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from functools import cached_property
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.strings import non_blank
-from ..operators.snapshots import latest_snapshot
+from .. import config
+from ..functions.numeric import exact_sum, null_to_zero
+from ..functions.strings import clean_stock_name, extract_symbol, non_blank, normalize_ticker, strip_ws
+from ..operators.distribution import global_row_number
+from ..operators.snapshots import asc, first_per_key, latest_snapshot
 
 
 def latest_allocations(allocations: DataFrame) -> DataFrame:
@@ -17,18 +23,6 @@ def latest_allocations(allocations: DataFrame) -> DataFrame:
     return snap.where(non_blank("name")).select("fund_code", "type", "name", "percent")
 
 
-from collections.abc import Mapping  # noqa: E402
-from functools import cached_property  # noqa: E402
-
-from pyspark.sql import Window  # noqa: E402
-
-from .. import config  # noqa: E402
-from ..functions.numeric import exact_sum, null_to_zero  # noqa: E402
-from ..functions.strings import clean_stock_name, extract_symbol, normalize_ticker, strip_ws  # noqa: E402
-from ..operators.distribution import global_row_number  # noqa: E402
-from ..operators.snapshots import asc, first_per_key  # noqa: E402
-
-
 def classify_instrument(type_col: str = "type"):
     """FUND / UNIT / TRUST in upper(type) -> master-fund holding."""
     return F.upper(F.coalesce(F.col(type_col), F.lit(""))).rlike("|".join(config.MASTER_KEYWORDS))

@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.strings import non_blank
 from ..oracle import stages  # noqa: F401  (registers oracle blocks)
 from ..oracle.stages import HOLDING_ORDER
 from ..operators.snapshots import latest_snapshot
 from ..plans import bridge as br
 from ..plans import exposure as ex
 from ..plans.loaders import load_allocation, load_fx_rates
-from ..plans.mart import Mart
 from ..plans.navfx import clean_fx, fund_currency, fx_latest_per_ccy, nav_with_fx
 from ..plans.loaders import load_dataset
-from ..sources.testdata import TestData
 from . import register
 from .common import mart, test_data
 

@@ -10,7 +10,7 @@ from ..oracle import stages  # noqa: F401
 from ..oracle.ctes import define
 from ..oracle.stages import dsum, strip
 from ..plans import serving as sv
-from ..plans.exposure import alloc_order, holding_order
+from ..plans.exposure import alloc_order
 from .common import mart
 from .core import alias
 
