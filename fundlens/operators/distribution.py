@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,18 +25,16 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 _LOWER_BITS = 33  # record index bits of monotonically_increasing_id
 
 
-_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded count (stops after max_rows + 1 rows); memoised per frame."""
-    key = (id(df), max_rows)
-    hit = _CHECKED.get(key)
-    if hit is not None and hit[0] is df:
-        return hit[1]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    _CHECKED[key] = (df, ok)
-    return ok
+    """Bounded count (stops after max_rows + 1 rows); memoised per frame
+    without keeping the frame alive."""
+    seen = _CHECKED.setdefault(df, {})
+    if max_rows not in seen:
+        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
