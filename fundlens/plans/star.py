@@ -71,11 +71,12 @@ class StarSchema:
         h = h.join(funds, "fund_code", "inner")
         pct = null_to_zero("percent")
         aum0 = null_to_zero("aum")
-        return h.select(
+        # read by five outputs: shared like the mart's own frames
+        return self.m._keep(h.select(
             "fund_code", "fund_id", "symbol", "holding_name", "sector", "type",
             pct.alias("percent"), aum0.alias("aum"), ((pct * aum0) / 100.0).alias("value_thb"),
             classify_instrument("type").alias("is_master"),
-        )
+        ))
 
     @cached_property
     def master_rows(self) -> DataFrame:
@@ -107,7 +108,7 @@ class StarSchema:
 
     @cached_property
     def fx_holdings(self) -> DataFrame:
-        s = self.m.stock.where(F.col("holding_ticker_norm").isNotNull() & (F.col("holding_ticker_norm") != ""))
+        s = self.m.stock_shared.where(F.col("holding_ticker_norm").isNotNull() & (F.col("holding_ticker_norm") != ""))
         return s.select("fund_code", "holding_name", F.col("holding_ticker_norm").alias("symbol"),
                         F.col("true_weight_pct").alias("pct_nav"), F.col("true_value_thb").alias("holding_value_thb"))
 
