@@ -161,7 +161,9 @@ def payload_items(m) -> DataFrame:
         F.lit("dashboard_summary").alias("section"), F.lit(1).cast("long").alias("position"),
         F.col("top_sector_name").alias("name"), F.col("total_holdings_value_thb").alias("value_thb"),
         F.col("top_sector_weight_pct").alias("weight_pct"))
-    top = m.top_holdings_topn.select(
+    from ..plans.exposure import agg_top_holdings_topn
+
+    top = agg_top_holdings_topn(m.stock_shared, m.n).select(
         F.lit("top_global_traceability_top10").alias("section"), F.col("rank_no").alias("position"),
         F.col("holding_name").alias("name"), F.col("total_true_value_thb").alias("value_thb"),
         F.col("total_true_weight_pct").alias("weight_pct"))
@@ -173,7 +175,7 @@ def payload_items(m) -> DataFrame:
                              F.col("total_true_value_thb").alias("value_thb"),
                              F.col("total_true_weight_pct").alias("weight_pct"))
 
-    search = search_top(search_by_fund(m.stock))
+    search = search_top(search_by_fund(m.stock_shared))
     # at most SEARCH_PAYLOAD_LIMIT rows: a bounded window
     search = search.withColumn("position", F.row_number().over(Window.orderBy(*search_order())).cast("long"))
     search = search.select(F.lit("search_by_fund").alias("section"), "position", F.col("fund_code").alias("name"),
