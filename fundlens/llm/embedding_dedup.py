@@ -54,7 +54,7 @@ def recall(cosine: float, k: int = 10, tables: int = 32, w: float = 1.8) -> floa
 
 def _bucket_hashes(vectors: list[np.ndarray], k: int, tables: int, w: float, seed: int) -> np.ndarray:
     """32-bit bucket hash of each vector in each table."""
-    out = np.zeros((len(vectors), tables), dtype=np.int64)
+    out = np.zeros((len(vectors), tables), dtype=np.int32)
     dims = np.array([len(v) for v in vectors])
     for dim in np.unique(dims):
         at = np.flatnonzero(dims == dim)
@@ -68,10 +68,10 @@ def _bucket_hashes(vectors: list[np.ndarray], k: int, tables: int, w: float, see
             x /= np.abs(x).max(axis=1, keepdims=True)  # huge and tiny components keep a finite norm
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             q = np.floor((x @ a + b) / w).astype(np.int64).astype(np.uint64).reshape(len(part), tables, k)
-            h = (q * mix[None]).sum(axis=2, dtype=np.uint64) + np.uint64(dim) * np.uint64(0x9E3779B97F4A7C15)
+            h = (q * mix[None]).sum(axis=2, dtype=np.uint64) + np.uint64(int(dim) * 0x9E3779B97F4A7C15 % 2**64)
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
-            out[part] = (h >> np.uint64(32)).astype(np.int64)
+            out[part] = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
     return out
 
 
@@ -87,7 +87,6 @@ def near_duplicates(
     seed: int = 7,
 ) -> DataFrame:
     """One row per vector: ``id_col``, n_links, component_id, kept."""
-    spark = df.sparkSession
     bad = F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = numbered(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("e")))
     ok = F.coalesce((F.size("e") > 0) & ~bad & F.exists("e", lambda x: x != 0), F.lit(False))
@@ -103,14 +102,10 @@ def near_duplicates(
             h = _bucket_hashes(b["e"].tolist(), k, tables, w, seed)
             yield pd.DataFrame({"rep": b["rep"], "h": h.tolist()})
 
-    sig = written(reps.select("rep", "e").mapInPandas(hashes, "rep long, h array<long>"), "buckets")
+    sig = written(reps.select("rep", "e").mapInPandas(hashes, "rep long, h array<int>"), "buckets")
     members = sig.select("rep", F.posexplode("h").alias("t", "b"))
     full = members.groupBy("t", "b").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    units = (
-        members.join(full, ["t", "b"])
-        .join(sig.join(reps, "rep").select("rep", "e", "n", "h"), "rep")
-        .withColumn("h", F.col("h").cast("array<int>"))
-    )
+    units = members.join(full, ["t", "b"]).join(sig.join(reps, "rep").select("rep", "e", "n", "h"), "rep")
     units = block_pairs(units, F.ceil(F.col("size") / block), F.col("rep")).drop("size")
 
     def check(g: pd.DataFrame) -> pd.DataFrame:
@@ -137,7 +132,6 @@ def near_duplicates(
     alone = rows.where("e is null").select(
         "__row", "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
     )
-    del spark
     return linked.unionByName(alone).select(
         F.col("id").alias(id_col), "n_links", "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
