@@ -22,6 +22,7 @@ result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
@@ -197,12 +198,18 @@ class PieceEncoder:
         return self.lib.decode(ids)
 
 
+@functools.lru_cache(maxsize=1)
+def piece_encoder(model_file: str) -> PieceEncoder:
+    """The encoder of this Python worker: later tasks find its segments known."""
+    return PieceEncoder(model_file)
+
+
 def encode_decode(docs: DataFrame, model_file: str | None = None, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded)."""
     model_file = model_file or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = PieceEncoder(model_file)
+        enc = piece_encoder(model_file)
         words = [str(i) for i in range(enc.lib.get_piece_size())]
         for b in batches:
             for s in range(0, len(b), 1000):

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import shared_path, written
-from .tokens import ChunkEncoder, tokenizer_path
+from .tokens import encoder, tokenizer_path
 
 SKIPPABLE = 0x184D2A5E
 FOOT_MAGIC = 0x54534B31
@@ -116,7 +116,7 @@ def write_ids(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
-        enc = ChunkEncoder(tokenizer, kind)
+        enc = encoder(tokenizer, kind)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
 
         def pairs() -> Iterator[tuple[int | None, bytes]]:

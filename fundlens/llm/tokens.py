@@ -17,6 +17,7 @@ are not in it go to the library in one batch.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from array import array
@@ -117,3 +118,9 @@ class ChunkEncoder:
                 batch, size = [], 0
         if batch:
             yield from self._encode_some(batch)
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, kind: str) -> ChunkEncoder:
+    """The encoder of this Python worker: later tasks find its chunks known."""
+    return ChunkEncoder(path, kind)
