@@ -12,7 +12,9 @@ are not in it go to the library in one batch.
 * ``word``: the normaliser makes every run of white space one space, the
   pattern drops it, and neither NFC nor lower-casing looks across it; chunks are
   the parts between spaces and line feeds (other white space stays inside a
-  chunk, for the library to split).
+  chunk, for the library to split). A full stop or comma that ends a word is a
+  chunk too, and a text in NFC is lower-cased first, unless it holds one of the
+  two letters whose lower case depends on the method.
 """
 
 from __future__ import annotations
@@ -22,12 +24,15 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 
 # a space followed by white space (or, for the end of a text, by nothing)
 _ODD_SPACE = re.compile(r" (?!\S)")
 _BREAK = re.compile(r" (?=\S)")
+# a full stop or comma between a letter and white space is a word of its own
+_STOP = re.compile(r"(?<=[^\W\d_])[.,](?=[ \n])")
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,7 +65,9 @@ class ChunkEncoder:
 
     def _chunks(self, text: str) -> list[str]:
         if self.kind == "word":
-            return text.replace("\n", " ").split(" ")
+            if "Σ" not in text and "İ" not in text and is_normalized("NFC", text):
+                text = text.lower()  # as the normaliser does, so that chunks repeat more often
+            return _STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
         if _ODD_SPACE.search(text):
             return _BREAK.split(text)
         return text.split(" ")
