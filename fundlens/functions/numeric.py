@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from .strings import col_
 
-# Money and weight sums are exact: each value is quantised to 1e-6 with plain
-# IEEE arithmetic (floor(x * 1e6 + 0.5)), summed as DECIMAL(38,0) and scaled
-# back. The result does not depend on the order in which partial aggregates
-# merge, so every run (and every engine) gets the same bits.
+# Money and weight sums do not depend on the order in which partial aggregates
+# merge: the whole part of each value (x - x % 1, exact for doubles) and its
+# fraction in units of 1e-12 are summed as DECIMAL(38,0) and added at the end.
+# No value is clipped; every run (and every engine) gets the same bits.
+FRACTION_SCALE = 1_000_000_000_000.0
 SUM_SCALE = 1_000_000.0
 
 
@@ -53,8 +54,10 @@ def pct_product(a: Column | str, b: Column | str) -> Column:
 
 def exact_sum(c: Column | str) -> Column:
     """Order-independent sum of doubles (decimal accumulator), as double."""
-    units = F.floor(col_(c) * SUM_SCALE + 0.5).cast("decimal(38,0)")
-    return F.sum(units).cast("double") / SUM_SCALE
+    x = col_(c).cast("double")
+    whole = (x - x % F.lit(1.0)).try_cast("decimal(38,0)")
+    units = F.floor((x % F.lit(1.0)) * FRACTION_SCALE + 0.5).try_cast("decimal(38,0)")
+    return F.sum(whole).cast("double") + F.sum(units).cast("double") / FRACTION_SCALE
 
 
 def share_pct(value: Column | str, total: Column | str) -> Column:

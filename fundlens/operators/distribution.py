@@ -1,8 +1,5 @@
-"""Distribution helpers: checked broadcast, scalar attach, global ranking.
+"""Distribution helpers: scalar attach, global and per-group ranking.
 
-* ``broadcast_if_small`` broadcasts a side only after proving it holds at
-  most ``max_rows`` rows (a bounded ``limit(n+1).count()``); otherwise the
-  plan keeps a shuffle join and AQE may still convert it at run time.
 * ``attach_scalars`` joins one-row aggregates onto a frame through a
   broadcast of exactly one row (no cartesian product with data).
 * ``global_row_number`` numbers rows 1..n in a total order without a
@@ -13,7 +10,6 @@
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,26 +17,9 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
 _LOWER_BITS = 33  # record index bits of monotonically_increasing_id
 
 
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded count (stops after max_rows + 1 rows); memoised per frame
-    without keeping the frame alive."""
-    seen = _CHECKED.setdefault(df, {})
-    if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return seen[max_rows]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate ``scalars`` to every row."""
     left = df.withColumn("_one", F.lit(1))
@@ -83,6 +62,28 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank_
     return ranked.withColumn(name, (F.col("_off") + F.col("_pos") + 1).cast("long")).drop("_pid", "_pos", "_off")
 
 
+def group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str = "rank_no") -> DataFrame:
+    """1-based position of each row in its group under ``order`` (which must be
+    total), for groups of any size: rows are range-partitioned by (group,
+    order) and written to the checkpoint folder, so a hot group spans many
+    partitions; the rows of a group in earlier partitions are added from one
+    count per (partition, group)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = [F.col(g).asc() for g in group]
+    ck = df.repartitionByRange(*keys, *order).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    counts = ck.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # groups that lie in one partition need no offset
+    offsets = counts.withColumn("_off", F.sum("_n").over(earlier)).where(F.col("_off").isNotNull())
+    offsets = offsets.select(F.col("_pid").alias("_p2"), *[F.col(g).alias(f"_g_{g}") for g in group], "_off")
+    pos = ck.withColumn("_pos", F.row_number().over(Window.partitionBy("_pid", *group).orderBy(*order)))
+    on = F.col("_pid") == F.col("_p2")
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    out = pos.join(offsets, on, "left").withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_pos")).cast("long"))
+    return out.select(*df.columns, name)
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """Distributed top-n (per-partition top-n, then merge)."""
     return df.orderBy(*order).limit(n)

@@ -18,12 +18,12 @@ FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 define("funds_codes", """
 SELECT 'F' || c_custkey AS fund_code, 'AIMC' AS type, 'A' || c_custkey AS code FROM customer
 UNION ALL
-SELECT 'F' || c_custkey, 'ISIN', ' s' || lpad(CAST(c_custkey % 100 AS VARCHAR), 11, '0')
+SELECT 'F' || c_custkey, 'ISIN', ' s' || lpad(CAST(c_custkey // 15 - (c_custkey // 15) % 2 AS VARCHAR), 11, '0')
 FROM customer WHERE c_custkey % 3 = 0
 UNION ALL
 SELECT 'F' || c_custkey, 'ISIN', ' ' FROM customer WHERE c_custkey % 3 = 1
 UNION ALL
-SELECT 'F' || c_custkey, 'ISIN', 'S' || lpad(CAST((c_custkey + 7) % 100 AS VARCHAR), 11, '0')
+SELECT 'F' || c_custkey, 'ISIN', 'S' || lpad(CAST((c_custkey + 30) // 15 - ((c_custkey + 30) // 15) % 2 AS VARCHAR), 11, '0')
 FROM customer WHERE c_custkey % 15 = 0
 """)
 
@@ -46,9 +46,9 @@ SELECT 'F' || o.o_custkey AS fund_code,
        CASE WHEN l.l_returnflag = 'A' THEN
               CASE l.l_suppkey % 4
                 WHEN 0 THEN 'Supplier ' || l.l_suppkey
-                WHEN 1 THEN 'Supplier ' || l.l_suppkey || ' (s' || lpad(CAST(l.l_suppkey % 90 AS VARCHAR), 11, '0') || ')'
-                WHEN 2 THEN 'Supplier ' || l.l_suppkey || ' (S ' || lpad(CAST(l.l_suppkey % 90 AS VARCHAR), 11, '0') || ') '
-                ELSE 'Supplier ' || l.l_suppkey || ' (x) (S' || lpad(CAST(l.l_suppkey % 90 AS VARCHAR), 11, '0') || ')'
+                WHEN 1 THEN 'Supplier ' || l.l_suppkey || ' (s' || lpad(CAST(l.l_suppkey - l.l_suppkey % 2 AS VARCHAR), 11, '0') || ')'
+                WHEN 2 THEN 'Supplier ' || l.l_suppkey || ' (S ' || lpad(CAST(l.l_suppkey - l.l_suppkey % 2 AS VARCHAR), 11, '0') || ') '
+                ELSE 'Supplier ' || l.l_suppkey || ' (x) (S' || lpad(CAST(l.l_suppkey - l.l_suppkey % 2 AS VARCHAR), 11, '0') || ')'
               END
             WHEN l.l_returnflag = 'R' THEN 'BANK ' || upper(p.p_name) || ' (CB' || l.l_partkey || ')'
             WHEN l.l_partkey % 2 = 0 THEN 'Stock ' || p.p_name || ' P' || l.l_partkey
@@ -77,7 +77,7 @@ SELECT 'FT' || l_suppkey AS ft_ticker,
        CASE WHEN l_suppkey % 17 <> 0 THEN 'T' || l_suppkey END AS ticker,
        'Master Fund ' || l_suppkey AS name,
        CASE l_suppkey % 3 WHEN 0 THEN 'Fund' WHEN 1 THEN 'ETF' ELSE 'Trust' END AS ticker_type,
-       CASE WHEN l_suppkey % 10 <> 9 THEN ' s' || lpad(CAST(l_suppkey % 90 AS VARCHAR), 11, '0') END AS isin_number,
+       CASE WHEN l_suppkey % 10 <> 9 THEN ' s' || lpad(CAST(l_suppkey - l_suppkey % 2 AS VARCHAR), 11, '0') END AS isin_number,
        sum(l_extendedprice) AS assets_aum_full_value,
        CAST(l_shipdate AS DATE) AS date_scraper,
        max(l_shipdate) AS created_at
@@ -140,10 +140,9 @@ SELECT date_rate,
        s / n AS rate_to_thb,
        'events' AS source_system,
        updated_at
-FROM (SELECT CAST(ts AS DATE) AS date_rate, event_type,
+FROM (SELECT date_rate, event_type,
              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS s,
              count(*) AS n, max(ts) AS updated_at
-      FROM events
-      WHERE dayofmonth(CAST(ts AS DATE)) % 4 <> 0
-      GROUP BY CAST(ts AS DATE), event_type) e
+      FROM (SELECT *, CAST(ts AS DATE) - (CASE WHEN dayofmonth(CAST(ts AS DATE)) % 4 = 0 THEN 1 ELSE 0 END) AS date_rate FROM events)
+      GROUP BY date_rate, event_type) e
 """)

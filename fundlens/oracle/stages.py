@@ -3,7 +3,7 @@
 Conventions shared with the Spark side:
 * "first row per key" ties are broken by the remaining columns ascending,
   nulls first (Spark compares the packed row struct that way);
-* money / weight sums use an exact DECIMAL(38,6) accumulator: dsum(x);
+* money / weight sums use exact DECIMAL(38,0) accumulators for whole parts and fractions: dsum(x);
 * strip = remove leading/trailing whitespace.
 """
 
@@ -16,7 +16,10 @@ def strip(x: str) -> str:
 
 
 def dsum(x: str) -> str:
-    return f"(CAST(sum(CAST(floor(({x}) * 1000000.0::DOUBLE + 0.5::DOUBLE) AS DECIMAL(38,0))) AS DOUBLE) / 1000000.0::DOUBLE)"
+    v = f"CAST({x} AS DOUBLE)"
+    whole = f"CAST(sum(CAST({v} - {v} % 1.0::DOUBLE AS DECIMAL(38,0))) AS DOUBLE)"
+    units = f"CAST(floor(({v} % 1.0::DOUBLE) * 1000000000000.0::DOUBLE + 0.5::DOUBLE) AS DECIMAL(38,0))"
+    return f"({whole} + CAST(sum({units}) AS DOUBLE) / 1000000000000.0::DOUBLE)"
 
 
 def f0(x: str) -> str:

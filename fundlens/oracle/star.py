@@ -133,36 +133,39 @@ define("o_asset_to_funds", f"""
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY holding_key ORDER BY value_thb DESC NULLS LAST, fund_code, map_method NULLS LAST) AS rank_no
   FROM (SELECT holding_key, fund_code, map_method, {dsum('true_value_thb')} AS value_thb, {dsum('true_weight_pct')} AS pct_nav
-        FROM o_stock GROUP BY holding_key, fund_code, map_method))
-WHERE rank_no <= 10""")
+        FROM o_stock GROUP BY holding_key, fund_code, map_method))""")
 
 define("o_fund_to_assets", f"""
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY fund_code ORDER BY value_thb DESC NULLS LAST, holding_key) AS rank_no
   FROM (SELECT fund_code, holding_key, {dsum('true_value_thb')} AS value_thb, {dsum('true_weight_pct')} AS pct_nav
-        FROM o_stock GROUP BY fund_code, holding_key))
-WHERE rank_no <= 10""")
+        FROM o_stock GROUP BY fund_code, holding_key))""")
 
 define("o_stock_aggregates", f"""
-SELECT coalesce(t.symbol, g.symbol) AS symbol,
-       coalesce(t.thai_value_thb, 0.0::DOUBLE) AS thai_value_thb,
-       coalesce(g.global_value_thb, 0.0::DOUBLE) AS global_value_thb,
-       coalesce(t.thai_value_thb, 0.0::DOUBLE) + coalesce(g.global_value_thb, 0.0::DOUBLE) AS total_exposure_thb,
-       coalesce(t.thai_weight_pct, 0.0::DOUBLE) + coalesce(g.global_weight_pct, 0.0::DOUBLE) AS total_weight_pct,
-       coalesce(t.thai_fund_count, 0) + coalesce(g.global_fund_count, 0) AS fund_count
-FROM (SELECT sym AS symbol, {dsum('value_thb')} AS thai_value_thb, {dsum('percent')} AS thai_weight_pct,
-             count(DISTINCT fund_code) AS thai_fund_count FROM o_direct_rows GROUP BY sym) t
-FULL OUTER JOIN (
-  SELECT split_part(upper({strip("coalesce(symbol, '')")}), ':', 1) AS symbol, {dsum('holding_value_thb')} AS global_value_thb,
-         {dsum('pct_nav')} AS global_weight_pct, count(DISTINCT fund_code) AS global_fund_count
-  FROM o_fx_holdings GROUP BY 1) g ON t.symbol = g.symbol""")
+SELECT symbol,
+       coalesce(tv, 0.0::DOUBLE) AS thai_value_thb,
+       coalesce(gv, 0.0::DOUBLE) AS global_value_thb,
+       coalesce(tv, 0.0::DOUBLE) + coalesce(gv, 0.0::DOUBLE) AS total_exposure_thb,
+       coalesce(tw, 0.0::DOUBLE) + coalesce(gw, 0.0::DOUBLE) AS total_weight_pct,
+       fund_count,
+       CASE WHEN tv IS NULL THEN 'GLOBAL' WHEN gv IS NULL THEN 'THAI' ELSE 'BOTH' END AS exposure_type
+FROM (
+  SELECT symbol, {dsum('CASE WHEN local THEN v END')} AS tv, {dsum('CASE WHEN NOT local THEN v END')} AS gv,
+         {dsum('CASE WHEN local THEN w END')} AS tw, {dsum('CASE WHEN NOT local THEN w END')} AS gw,
+         count(DISTINCT fund_code) AS fund_count
+  FROM (
+    SELECT sym AS symbol, fund_code, true AS local, value_thb AS v, percent AS w FROM o_direct_rows
+    UNION ALL
+    SELECT split_part(upper({strip("coalesce(symbol, '')")}), ':', 1), fund_code, false, holding_value_thb, pct_nav FROM o_fx_holdings)
+  WHERE symbol IS NOT NULL
+  GROUP BY symbol)""")
 
 define("o_suggestions", """
-SELECT *, 100 AS priority FROM (
-  SELECT code AS keyword, 'fund' AS item_type, id AS item_id FROM o_dim_funds
-  UNION ALL SELECT name_en, 'fund', id FROM o_dim_funds
-  UNION ALL SELECT symbol, 'stock', id FROM o_dim_stocks
-  UNION ALL SELECT full_name, 'stock', id FROM o_dim_stocks)
+SELECT keyword, item_type, item_id, item_code, item_name, 100 AS priority FROM (
+  SELECT code AS keyword, 'FUND' AS item_type, id AS item_id, code AS item_code, name_en AS item_name FROM o_dim_funds
+  UNION ALL SELECT name_en, 'FUND', id, code, name_en FROM o_dim_funds
+  UNION ALL SELECT symbol, 'STOCK', id, symbol, full_name FROM o_dim_stocks
+  UNION ALL SELECT full_name, 'STOCK', id, symbol, full_name FROM o_dim_stocks)
 WHERE keyword IS NOT NULL AND keyword <> ''""")
 
 define("o_investment_method", f"""

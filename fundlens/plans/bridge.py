@@ -40,7 +40,10 @@ def static_isin_ready(ft_static: DataFrame) -> DataFrame:
 def bridge_feeder(feeder: DataFrame, static: DataFrame) -> DataFrame:
     """Every feeder row, left-joined to every master sharing its ISIN."""
     s = static.select("ft_ticker", "ticker", "isin_number", "name", "ticker_type")
-    j = feeder.join(s, feeder["token_isin"] == s["isin_number"], "left")
+    # feeders without an ISIN match nothing: they go around the join
+    keyed = feeder.where(F.col("token_isin").isNotNull())
+    j = keyed.join(s, keyed["token_isin"] == s["isin_number"], "left")
+    j = j.unionByName(feeder.where(F.col("token_isin").isNull()), allowMissingColumns=True)
     return j.withColumn("map_method", F.lit(config.MAP_FEEDER)).select(*BRIDGE_COLS)
 
 

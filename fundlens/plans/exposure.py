@@ -94,7 +94,7 @@ def fact_exposure_stock(bok: DataFrame, ft_holdings: DataFrame, nav: DataFrame)
     """A1 -> J7 -> J10 -> C1/C8."""
     keys = ["ticker", "holding_name", "holding_ticker", "holding_type", "date_scraper"]
     h = dedupe_max(ft_holdings, keys, "portfolio_weight_pct")
-    j = bok.join(h, "ticker", "inner")
+    j = bok.where(F.col("ticker").isNotNull()).join(h.where(F.col("ticker").isNotNull()), "ticker", "inner")
     j = j.withColumn("true_weight_pct", pct_product("feeder_weight_pct_norm", "portfolio_weight_pct"))
     j = attach_nav(j, nav).select(*STOCK_COLS)
     j = j.withColumn("holding_ticker_norm", norm_code("holding_ticker"))
@@ -104,7 +104,7 @@ def fact_exposure_stock(bok: DataFrame, ft_holdings: DataFrame, nav: DataFrame)
 
 def _fact_alloc(bok: DataFrame, alloc: DataFrame, nav: DataFrame) -> DataFrame:
     a = dedupe_max(alloc, ["ticker", "category_name", "date_scraper"], "weight_pct")
-    j = bok.join(a, "ticker", "inner")
+    j = bok.where(F.col("ticker").isNotNull()).join(a.where(F.col("ticker").isNotNull()), "ticker", "inner")
     j = j.withColumn("true_weight_pct", pct_product("feeder_weight_pct_norm", "weight_pct"))
     return attach_nav(j, nav)
 

@@ -1,9 +1,10 @@
 """NAV with FX: X2 (fact conversion), X3 (stg_nav_aum_native), X9 (view).
 
 FX tables are tiny next to the NAV rows (days x currencies) and a currency
-key is extremely skewed (most funds share a handful of currencies), so every
-FX join broadcasts the FX side after a size check; the as-of join becomes an
-equi-join on a day-dense rate calendar instead of a range join.
+key is extremely skewed (most funds share a handful of currencies). Every FX
+join reads an aggregate of one row per (currency, day), so AQE sees its size in
+bytes and broadcasts it, or splits the skewed side of a sort-merge join. The
+as-of join is an equi-join on a day-dense rate calendar, not a range join.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from .. import config
 from ..functions.dates import to_date_lenient
 from ..functions.numeric import to_float, to_float0
 from ..functions.strings import upper_strip
-from ..operators.distribution import attach_scalars, broadcast_if_small
+from ..operators.distribution import attach_scalars
 from ..operators.snapshots import first_per_key, latest_per_group_value
 from .loaders import Dataset
 
@@ -65,13 +66,13 @@ def nav_with_fx(ds: Dataset, base_ccy: str = config.BASE_CCY) -> DataFrame:
     )
     fx_rows = ds.fx_rates.agg(F.count(F.lit(1)).alias("_fx_rows"))
     fx = clean_fx(ds.fx_rates)
-    exact = fx.select(
+    exact = one_rate_per_day(fx).select(
         F.col("from_ccy").alias("_x_ccy"),
         F.col("date_rate").alias("fx_rate_date_exact"),
         F.col("rate_to_thb").alias("fx_rate_exact"),
     )
     nav = nav.join(
-        broadcast_if_small(exact),
+        exact,
         (nav["fund_currency"] == exact["_x_ccy"]) & (nav["nav_as_of_date"] == exact["fx_rate_date_exact"]),
         "left",
     ).drop("_x_ccy")
@@ -80,7 +81,7 @@ def nav_with_fx(ds: Dataset, base_ccy: str = config.BASE_CCY) -> DataFrame:
         F.col("date_rate").alias("fx_rate_date_latest"),
         F.col("rate_to_thb").alias("fx_rate_latest"),
     )
-    nav = nav.join(broadcast_if_small(latest), nav["fund_currency"] == latest["_l_ccy"], "left").drop("_l_ccy")
+    nav = nav.join(latest, nav["fund_currency"] == latest["_l_ccy"], "left").drop("_l_ccy")
     nav = attach_scalars(nav, fx_rows)
     empty = F.col("_fx_rows") == 0
     is_base = F.col("fund_currency") == base_ccy
@@ -113,16 +114,22 @@ def stg_nav_aum_native(nav: DataFrame) -> DataFrame:
     return first_per_key(n, ["fund_code"], [])
 
 
+def one_rate_per_day(fx: DataFrame) -> DataFrame:
+    """One row per (from_ccy, date_rate): the tables' key. Where a feed breaks
+    it (say ``usd`` and ``USD`` on one day) the largest rate stands."""
+    return fx.groupBy(F.upper(F.trim("from_ccy")).alias("from_ccy"), "date_rate").agg(F.max("rate_to_thb").alias("rate_to_thb"))
+
+
 def asof_calendar(fx: DataFrame) -> DataFrame:
     """Day-dense validity calendar: for each currency and each day between
     its first and last rate date, the newest rate dated on or before that day.
     Size = currencies x days spanned; independent of the NAV rows."""
     w = Window.partitionBy("from_ccy").orderBy("date_rate")
-    r = fx.select("from_ccy", "date_rate", "rate_to_thb").withColumn("_next", F.lead("date_rate").over(w))
+    r = one_rate_per_day(fx).withColumn("_next", F.lead("date_rate").over(w))
     until = F.coalesce(F.date_sub(F.col("_next"), 1), F.col("date_rate"))
-    return r.select(
+    return r.withColumn("_until", until).where(F.col("_until") >= F.col("date_rate")).select(
         "from_ccy",
-        F.explode(F.sequence(F.col("date_rate"), until)).alias("day"),
+        F.explode(F.sequence(F.col("date_rate"), F.col("_until"))).alias("day"),
         F.col("date_rate").alias("asof_date"),
         F.col("rate_to_thb").alias("asof_rate"),
     )
@@ -134,15 +141,15 @@ def asof_join(left: DataFrame, ccy_col: str, date_col: str, fx: DataFrame) -> Da
     last rate; days before its first rate get nulls."""
     cal = asof_calendar(fx)
     cal = cal.select(F.col("from_ccy").alias("_c_ccy"), F.col("day").alias("_c_day"), "asof_date", "asof_rate")
-    last = latest_per_group_value(fx, "from_ccy", "date_rate", ["rate_to_thb"]).select(
+    last = latest_per_group_value(one_rate_per_day(fx), "from_ccy", "date_rate", ["rate_to_thb"]).select(
         F.col("from_ccy").alias("_t_ccy"), F.col("date_rate").alias("_t_date"), F.col("rate_to_thb").alias("_t_rate")
     )
     j = left.join(
-        broadcast_if_small(cal),
+        cal,
         (left[ccy_col] == cal["_c_ccy"]) & (left[date_col] == cal["_c_day"]),
         "left",
     )
-    j = j.join(broadcast_if_small(last), j[ccy_col] == last["_t_ccy"], "left")
+    j = j.join(last, j[ccy_col] == last["_t_ccy"], "left")
     after = F.col(date_col) > F.col("_t_date")
     j = j.withColumn("asof_rate", F.coalesce(F.col("asof_rate"), F.when(after, F.col("_t_rate"))))
     j = j.withColumn("asof_date", F.coalesce(F.col("asof_date"), F.when(after, F.col("_t_date"))))
@@ -151,9 +158,9 @@ def asof_join(left: DataFrame, ccy_col: str, date_col: str, fx: DataFrame) -> Da
 
 def fx_exact_join(left: DataFrame, ccy_col: str, date_col: str, fx: DataFrame) -> DataFrame:
     """Exact (currency, date) LEFT join; adds exact_rate."""
-    x = fx.select(F.col("from_ccy").alias("_e_ccy"), F.col("date_rate").alias("_e_date"), F.col("rate_to_thb").alias("exact_rate"))
+    x = one_rate_per_day(fx).select(F.col("from_ccy").alias("_e_ccy"), F.col("date_rate").alias("_e_date"), F.col("rate_to_thb").alias("exact_rate"))
     j = left.join(
-        broadcast_if_small(x), (left[ccy_col] == x["_e_ccy"]) & (left[date_col] == x["_e_date"]), "left"
+        x, (left[ccy_col] == x["_e_ccy"]) & (left[date_col] == x["_e_date"]), "left"
     )
     return j.drop("_e_ccy", "_e_date")
 

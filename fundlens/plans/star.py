@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.numeric import exact_sum, null_to_zero
 from ..functions.strings import clean_stock_name, extract_symbol, non_blank, normalize_ticker, strip_ws
-from ..operators.distribution import global_row_number
+from ..operators.distribution import global_row_number, group_row_number
 from ..operators.snapshots import asc, first_per_key, latest_snapshot
 
 
@@ -28,18 +28,6 @@ def classify_instrument(type_col: str = "type"):
     return F.upper(F.coalesce(F.col(type_col), F.lit(""))).rlike("|".join(config.MASTER_KEYWORDS))
 
 
-def topk_per_group(df: DataFrame, group: list[str], order: list, k: int, salt_cols: list[str],
-                   buckets: int = 16, name: str = "rank_no") -> DataFrame:
-    """Top-k rows per group, safe for a group holding a third of all rows:
-    rank inside (group, salt) first, keep k, then rank the <= k * buckets
-    survivors per group. ``order`` must be a total order."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)))
-    w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
-    pre = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k).drop("_r1", "_salt")
-    w2 = Window.partitionBy(*group).orderBy(*order)
-    return pre.withColumn(name, F.row_number().over(w2).cast("long")).where(F.col(name) <= k)
-
-
 class StarSchema:
     """3 dimensions + 5 facts from the local source and the mart."""
 
@@ -245,54 +233,51 @@ class StarSchema:
         return cards.select("scope", F.coalesce("total_value_thb", F.lit(0.0)).alias("total_value_thb"),
                             "top_sector_name", "top_country_name", "fund_count")
 
-    def search_asset_to_funds(self, k: int = config.TOP_N) -> DataFrame:
-        """Per asset, its k largest funds (value, % of fund NAV, method)."""
+    def search_asset_to_funds(self) -> DataFrame:
+        """Per asset, all its funds ranked by value (% of fund NAV, method)."""
         s = self.m.stock.groupBy("holding_key", "fund_code", "map_method").agg(
             exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"))
         order = [F.col("value_thb").desc_nulls_last(), F.col("fund_code").asc(), F.col("map_method").asc_nulls_last()]
-        return topk_per_group(s, ["holding_key"], order, k, ["fund_code", "map_method"])
+        return group_row_number(s, ["holding_key"], order)
 
-    def search_fund_to_assets(self, k: int = config.TOP_N) -> DataFrame:
-        """Per fund, its k largest look-through assets."""
+    def search_fund_to_assets(self) -> DataFrame:
+        """Per fund, all its look-through assets ranked by value."""
         s = self.m.stock.groupBy("fund_code", "holding_key").agg(
             exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"))
         order = [F.col("value_thb").desc_nulls_last(), F.col("holding_key").asc()]
-        return topk_per_group(s, ["fund_code"], order, k, ["holding_key"])
+        return group_row_number(s, ["fund_code"], order)
 
     def stock_aggregates(self) -> DataFrame:
-        """Local and look-through exposure per symbol (full outer join of
-        two per-symbol aggregates)."""
-        th = self.direct_rows.groupBy(F.col("sym").alias("symbol")).agg(
-            exact_sum("value_thb").alias("thai_value_thb"), exact_sum("percent").alias("thai_weight_pct"),
-            F.countDistinct("fund_code").cast("long").alias("thai_fund_count"))
-        gl = self.fx_holdings.groupBy(normalize_ticker("symbol").alias("symbol")).agg(
-            exact_sum("holding_value_thb").alias("global_value_thb"), exact_sum("pct_nav").alias("global_weight_pct"),
-            F.countDistinct("fund_code").cast("long").alias("global_fund_count"))
-        j = th.join(gl, "symbol", "full")
+        """Local and look-through exposure per symbol; a fund that holds a
+        symbol both ways counts once."""
+        th = self.direct_rows.select(F.col("sym").alias("symbol"), "fund_code", F.lit(True).alias("local"),
+                                     F.col("value_thb").alias("v"), F.col("percent").alias("w"))
+        gl = self.fx_holdings.select(normalize_ticker("symbol").alias("symbol"), "fund_code", F.lit(False).alias("local"),
+                                     F.col("holding_value_thb").alias("v"), F.col("pct_nav").alias("w"))
+        per_symbol = th.unionByName(gl).where(F.col("symbol").isNotNull()).groupBy("symbol").agg(
+            exact_sum(F.when(F.col("local"), F.col("v"))).alias("tv"), exact_sum(F.when(~F.col("local"), F.col("v"))).alias("gv"),
+            exact_sum(F.when(F.col("local"), F.col("w"))).alias("tw"), exact_sum(F.when(~F.col("local"), F.col("w"))).alias("gw"),
+            F.countDistinct("fund_code").cast("long").alias("fund_count"))
         z = F.lit(0.0)
-        return j.select(
+        return per_symbol.select(
             "symbol",
-            F.coalesce("thai_value_thb", z).alias("thai_value_thb"),
-            F.coalesce("global_value_thb", z).alias("global_value_thb"),
-            (F.coalesce("thai_value_thb", z) + F.coalesce("global_value_thb", z)).alias("total_exposure_thb"),
-            (F.coalesce("thai_weight_pct", z) + F.coalesce("global_weight_pct", z)).alias("total_weight_pct"),
-            (F.coalesce("thai_fund_count", F.lit(0)) + F.coalesce("global_fund_count", F.lit(0))).cast("long")
-            .alias("fund_count"))
+            F.coalesce("tv", z).alias("thai_value_thb"),
+            F.coalesce("gv", z).alias("global_value_thb"),
+            (F.coalesce("tv", z) + F.coalesce("gv", z)).alias("total_exposure_thb"),
+            (F.coalesce("tw", z) + F.coalesce("gw", z)).alias("total_weight_pct"),
+            "fund_count",
+            F.when(F.col("tv").isNull(), "GLOBAL").when(F.col("gv").isNull(), "THAI").otherwise("BOTH").alias("exposure_type"))
 
     def suggestions(self) -> DataFrame:
         """Search keywords for funds and stocks, default priority 100."""
-        f = self.dim_funds
-        s = self.dim_stocks
-        parts = [
-            f.select(F.col("code").alias("keyword"), F.lit("fund").alias("item_type"), F.col("id").alias("item_id")),
-            f.select(F.col("name_en").alias("keyword"), F.lit("fund").alias("item_type"), F.col("id").alias("item_id")),
-            s.select(F.col("symbol").alias("keyword"), F.lit("stock").alias("item_type"), F.col("id").alias("item_id")),
-            s.select(F.col("full_name").alias("keyword"), F.lit("stock").alias("item_type"), F.col("id").alias("item_id")),
-        ]
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        return u.where(F.col("keyword").isNotNull() & (F.col("keyword") != "")).withColumn("priority", F.lit(100))
+        f = self.dim_funds.select(F.lit("FUND").alias("item_type"), F.col("id").alias("item_id"),
+                                  F.col("code").alias("item_code"), F.col("name_en").alias("item_name"))
+        s = self.dim_stocks.select(F.lit("STOCK").alias("item_type"), F.col("id").alias("item_id"),
+                                   F.col("symbol").alias("item_code"), F.col("full_name").alias("item_name"))
+        items = f.unionByName(s)
+        u = items.withColumn("keyword", F.explode(F.array("item_code", "item_name")))
+        return u.where(F.col("keyword").isNotNull() & (F.col("keyword") != "")).select(
+            "keyword", "item_type", "item_id", "item_code", "item_name", F.lit(100).alias("priority"))
 
     def investment_method(self) -> DataFrame:
         """Direct / Feeder Fund / Other per holding row, summarised."""

@@ -16,17 +16,6 @@ _TD: dict[tuple, TestData] = {}
 _MART: dict[tuple, Mart] = {}
 
 
-# Runtime SQL settings the registered queries rely on for planning speed
-# (see fundlens.session): applied to whatever session the caller passes.
-RUNTIME_CONF = {"spark.sql.constraintPropagation.enabled": "false"}
-
-
-def _tune(spark: SparkSession) -> None:
-    for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-
-
 def _key(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> tuple:
     return (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), extra)
 
@@ -35,7 +24,6 @@ MATERIALIZE_SOURCES = True
 
 
 def test_data(spark: SparkSession, sf_dir: str, missing: tuple[str, ...] = ()) -> TestData:
-    _tune(spark)
     k = _key(spark, sf_dir, missing)
     if k not in _TD:
         _TD[k] = TestData(spark, sf_dir, missing, materialize=MATERIALIZE_SOURCES)

@@ -39,16 +39,28 @@ M_SINGLE = "SELECT CAST(abs(count(*) - 1) AS DOUBLE) AS metric FROM o_cards"
 M_FXMISS = ("SELECT CASE WHEN count(*) = 0 THEN 0.0::DOUBLE ELSE count_if(fund_currency <> 'THB' AND "
             "fx_rate_status = 'default_1_missing_fx') * 100.0::DOUBLE / count(*) END AS metric FROM o_vw_nav")
 
+MART_SRC = {
+    "stg_nav_aum_native": "o_stg_nav", "bridge_thai_master": "o_bridge", "fact_effective_exposure_stock": "o_stock",
+    "fact_effective_exposure_sector": "o_sector", "fact_effective_exposure_region": "o_region",
+    "agg_top_holdings": "o_top_holdings", "agg_top_holdings_topn": "o_topn", "agg_sector_exposure": "o_sector_agg",
+    "agg_sector_exposure_topn": f"(SELECT * FROM o_sector_agg LIMIT {config.TOP_N})",
+    "agg_country_exposure": "o_country_agg",
+    "agg_country_exposure_topn": f"(SELECT * FROM o_country_agg LIMIT {config.TOP_N})",
+    "agg_region_exposure": "o_region_agg", "agg_fund_coverage": "o_coverage", "agg_dashboard_cards": "o_cards",
+}
+MISSING_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name FROM (SELECT count(*) AS c FROM {MART_SRC[t]}) WHERE c = 0" for t in config.REQUIRED_MART_TABLES)
+
 REPORT_SQL = " UNION ALL ".join([
-    check_sql("required_tables_present", "SELECT 0.0::DOUBLE AS metric", 0, "required mart tables exist"),
-    check_sql("stock_negative_values", M_NONNEG, 0, "stock true_weight_pct/true_value_thb non-negative"),
-    check_sql("fund_weight_over_100", M_OVER100, 0, "sum(true_weight_pct) per fund <= 100.5"),
-    check_sql("coverage_ratio_out_of_range", M_COVER, 0, "coverage_ratio should be in [0,1]"),
-    check_sql("duplicate_topn_rank", M_RANK, 0, "rank_no uniqueness in agg_top_holdings_topn"),
-    check_sql("dashboard_total_diff", M_TOTAL, config.CARD_TOTAL_TOLERANCE, "dashboard total matches fact total within 1 THB"),
-    check_sql("dashboard_cards_rowcount", M_SINGLE, 0, "agg_dashboard_cards must contain exactly 1 row"),
+    check_sql("required_tables_present", f"SELECT CAST(count(*) AS DOUBLE) AS metric FROM ({MISSING_SQL})", 0, "every required table holds rows"),
+    check_sql("stock_negative_values", M_NONNEG, 0, "no stock weight or value is below zero"),
+    check_sql("fund_weight_over_100", M_OVER100, 0, "weights of a fund add up to 100.5 at most"),
+    check_sql("coverage_ratio_out_of_range", M_COVER, 0, "coverage lies between 0 and 1"),
+    check_sql("duplicate_topn_rank", M_RANK, 0, "each rank is given once"),
+    check_sql("dashboard_total_diff", M_TOTAL, config.CARD_TOTAL_TOLERANCE, "card total and fact total agree"),
+    check_sql("dashboard_cards_rowcount", M_SINGLE, 0, "there is one card row"),
     check_sql("fx_missing_rate_pct", M_FXMISS, config.FX_MISSING_MAX_PCT,
-              "percent of rows using default_1_missing_fx (non-THB only)"),
+              "share of foreign rows without a rate"),
 ])
 
 
@@ -57,49 +69,49 @@ def q_report(spark: SparkSession, sf: str) -> DataFrame:
     return dq.report(mart(spark, sf))
 
 
-@alias(["dq_non_negative"], check_sql("stock_negative_values", M_NONNEG, 0, "stock true_weight_pct/true_value_thb non-negative"))
+@alias(["dq_non_negative"], check_sql("stock_negative_values", M_NONNEG, 0, "no stock weight or value is below zero"))
 def q_nonneg(spark: SparkSession, sf: str) -> DataFrame:
     return dq.check_row(dq.non_negative(mart(spark, sf).stock), "stock_negative_values", 0,
-                        "stock true_weight_pct/true_value_thb non-negative")
+                        "no stock weight or value is below zero")
 
 
-@alias(["dq_weight_le_100"], check_sql("fund_weight_over_100", M_OVER100, 0, "sum(true_weight_pct) per fund <= 100.5"))
+@alias(["dq_weight_le_100"], check_sql("fund_weight_over_100", M_OVER100, 0, "weights of a fund add up to 100.5 at most"))
 def q_over100(spark: SparkSession, sf: str) -> DataFrame:
     return dq.check_row(dq.weight_over_100(mart(spark, sf).stock), "fund_weight_over_100", 0,
-                        "sum(true_weight_pct) per fund <= 100.5")
+                        "weights of a fund add up to 100.5 at most")
 
 
-@alias(["dq_coverage_range"], check_sql("coverage_ratio_out_of_range", M_COVER, 0, "coverage_ratio should be in [0,1]"))
+@alias(["dq_coverage_range"], check_sql("coverage_ratio_out_of_range", M_COVER, 0, "coverage lies between 0 and 1"))
 def q_cover(spark: SparkSession, sf: str) -> DataFrame:
     return dq.check_row(dq.coverage_out_of_range(mart(spark, sf).coverage), "coverage_ratio_out_of_range", 0,
-                        "coverage_ratio should be in [0,1]")
+                        "coverage lies between 0 and 1")
 
 
-@alias(["dq_rank_unique"], check_sql("duplicate_topn_rank", M_RANK, 0, "rank_no uniqueness in agg_top_holdings_topn"))
+@alias(["dq_rank_unique"], check_sql("duplicate_topn_rank", M_RANK, 0, "each rank is given once"))
 def q_rank(spark: SparkSession, sf: str) -> DataFrame:
     return dq.check_row(dq.duplicate_ranks(mart(spark, sf).top_holdings_topn), "duplicate_topn_rank", 0,
-                        "rank_no uniqueness in agg_top_holdings_topn")
+                        "each rank is given once")
 
 
 @alias(["dq_total_matches", "cross_scalar_compare", "abs_diff"], check_sql(
-    "dashboard_total_diff", M_TOTAL, config.CARD_TOTAL_TOLERANCE, "dashboard total matches fact total within 1 THB"))
+    "dashboard_total_diff", M_TOTAL, config.CARD_TOTAL_TOLERANCE, "card total and fact total agree"))
 def q_total(spark: SparkSession, sf: str) -> DataFrame:
     m = mart(spark, sf)
     return dq.check_row(dq.total_diff(m.cards, m.stock), "dashboard_total_diff", config.CARD_TOTAL_TOLERANCE,
-                        "dashboard total matches fact total within 1 THB")
+                        "card total and fact total agree")
 
 
-@alias(["dq_single_row"], check_sql("dashboard_cards_rowcount", M_SINGLE, 0, "agg_dashboard_cards must contain exactly 1 row"))
+@alias(["dq_single_row"], check_sql("dashboard_cards_rowcount", M_SINGLE, 0, "there is one card row"))
 def q_single(spark: SparkSession, sf: str) -> DataFrame:
     return dq.check_row(dq.single_row(mart(spark, sf).cards), "dashboard_cards_rowcount", 0,
-                        "agg_dashboard_cards must contain exactly 1 row")
+                        "there is one card row")
 
 
 @alias(["dq_fx_missing_pct"], check_sql("fx_missing_rate_pct", M_FXMISS, config.FX_MISSING_MAX_PCT,
-                                        "percent of rows using default_1_missing_fx (non-THB only)"))
+                                        "share of foreign rows without a rate"))
 def q_fxmiss(spark: SparkSession, sf: str) -> DataFrame:
     return dq.check_row(dq.fx_missing_pct(mart(spark, sf).vw_nav_aum_thb), "fx_missing_rate_pct",
-                        config.FX_MISSING_MAX_PCT, "percent of rows using default_1_missing_fx (non-THB only)")
+                        config.FX_MISSING_MAX_PCT, "share of foreign rows without a rate")
 
 
 @alias(["agg_conditional_pct"], """
@@ -138,15 +150,6 @@ def q_smoke(spark: SparkSession, sf: str) -> DataFrame:
     return dq.smoke_counts(mart(spark, sf).tables())
 
 
-MART_SRC = {
-    "stg_nav_aum_native": "o_stg_nav", "bridge_thai_master": "o_bridge", "fact_effective_exposure_stock": "o_stock",
-    "fact_effective_exposure_sector": "o_sector", "fact_effective_exposure_region": "o_region",
-    "agg_top_holdings": "o_top_holdings", "agg_top_holdings_topn": "o_topn", "agg_sector_exposure": "o_sector_agg",
-    "agg_sector_exposure_topn": f"(SELECT * FROM o_sector_agg LIMIT {config.TOP_N})",
-    "agg_country_exposure": "o_country_agg",
-    "agg_country_exposure_topn": f"(SELECT * FROM o_country_agg LIMIT {config.TOP_N})",
-    "agg_region_exposure": "o_region_agg", "agg_fund_coverage": "o_coverage", "agg_dashboard_cards": "o_cards",
-}
 
 
 @alias(["build_exposure_tables"], " UNION ALL ".join(
@@ -157,18 +160,10 @@ def q_build(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-@alias(["set_missing_tables"], " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name FROM (SELECT count(*) AS c FROM {MART_SRC[t]}) WHERE c = 0"
-    for t in config.REQUIRED_MART_TABLES))
+@alias(["set_missing_tables"], MISSING_SQL)
 def q_missing(spark: SparkSession, sf: str) -> DataFrame:
     """Required mart tables minus the tables that hold rows."""
-    tables = mart(spark, sf).tables()
-    counts = reduce(DataFrame.unionByName, [
-        tables[t].agg(F.count(F.lit(1)).alias("c")).select(F.lit(t).alias("table_name"), "c")
-        for t in config.REQUIRED_MART_TABLES])
-    present = counts.where(F.col("c") > 0).select("table_name")
-    req = counts.select("table_name")
-    return req.join(present, "table_name", "left_anti")
+    return dq.missing_tables(mart(spark, sf).tables())
 
 
 UNIQUE_SQL = " UNION ALL ".join([

@@ -23,14 +23,17 @@ DEFAULT_CONF = {
 }
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "fundlens") -> SparkSession:
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "fundlens") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("FUNDLENS_DRIVER_MEMORY", "16g"))
+    # left to spark-submit unless the caller asks for a value
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if memory := os.environ.get("FUNDLENS_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -51,7 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
     local_dir = tempfile.mkdtemp(prefix="fundlens-ckpt-")
     sc.setCheckpointDir(local_dir)

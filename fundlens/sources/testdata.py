@@ -52,6 +52,17 @@ def _cat(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def _isin_no(k: Column) -> Column:
+    """Two suppliers share an ISIN, so masters per ISIN stay bounded while the
+    number of ISINs grows with the suppliers."""
+    return k - k % 2
+
+
+def _fund_isin_no(custkey: Column) -> Column:
+    """A supplier number for each 15 customers (the tables' ratio)."""
+    return _isin_no(F.floor(custkey / 15))
+
+
 def _pad11(c: Column) -> Column:
     return F.lpad(c.cast("string"), 11, "0")
 
@@ -150,11 +161,11 @@ def funds_codes(td: TestData) -> DataFrame:
     fund = _cat("F", F.col("c_custkey")).alias("fund_code")
     aimc = c.select(fund, F.lit("AIMC").alias("type"), _cat("A", F.col("c_custkey")).alias("code"))
     isin = c.where(F.col("c_custkey") % 3 == 0).select(
-        fund, F.lit("ISIN").alias("type"), _cat(" s", _pad11(F.col("c_custkey") % 100)).alias("code")
+        fund, F.lit("ISIN").alias("type"), _cat(" s", _pad11(_fund_isin_no(F.col("c_custkey")))).alias("code")
     )
     blank = c.where(F.col("c_custkey") % 3 == 1).select(fund, F.lit("ISIN").alias("type"), F.lit(" ").alias("code"))
     second = c.where(F.col("c_custkey") % 15 == 0).select(
-        fund, F.lit("ISIN").alias("type"), _cat("S", _pad11((F.col("c_custkey") + 7) % 100)).alias("code")
+        fund, F.lit("ISIN").alias("type"), _cat("S", _pad11(_fund_isin_no(F.col("c_custkey") + 30))).alias("code")
     )
     return aimc.unionByName(isin).unionByName(blank).unionByName(second)
 
@@ -180,7 +191,7 @@ def funds_daily(td: TestData) -> DataFrame:
 
 def _feeder_name(k: Column) -> Column:
     base = _cat("Supplier ", k)
-    tok = _pad11(k % 90)
+    tok = _pad11(_isin_no(k))
     return (
         F.when(k % 4 == 0, base)
         .when(k % 4 == 1, _cat(base, " (s", tok, ")"))
@@ -254,7 +265,7 @@ def ft_static_detail(td: TestData) -> DataFrame:
         _ticker(k).alias("ticker"),
         _cat("Master Fund ", k).alias("name"),
         F.when(k % 3 == 0, "Fund").when(k % 3 == 1, "ETF").otherwise("Trust").alias("ticker_type"),
-        F.when(k % 10 != 9, _cat(" s", _pad11(k % 90))).alias("isin_number"),
+        F.when(k % 10 != 9, _cat(" s", _pad11(_isin_no(k)))).alias("isin_number"),
         F.col("assets_aum_full_value"),
         F.col("date_scraper"),
         F.col("created_at"),
@@ -348,10 +359,11 @@ def ft_avg_fund_return(td: TestData) -> DataFrame:
 
 def daily_fx_rates(td: TestData) -> DataFrame:
     e = td.raw("events").select("ts", "event_type", "value")
+    # days without a rate: each fourth day's events count for the day before
     day = F.to_date("ts")
+    day = F.when(F.dayofmonth(day) % 4 == 0, F.date_sub(day, 1)).otherwise(day)
     g = (
-        e.where(F.dayofmonth(day) % 4 != 0)
-        .groupBy(day.alias("date_rate"), "event_type")
+        e.groupBy(day.alias("date_rate"), "event_type")
         .agg(
             F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("s"),
             F.count(F.lit(1)).alias("n"),

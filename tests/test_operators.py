@@ -2,14 +2,17 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fundlens.operators.distribution import attach_scalars, global_row_number
+from fundlens.functions.numeric import exact_sum
+from fundlens.operators import quality
+from fundlens.operators.distribution import attach_scalars, global_row_number, group_row_number
 from fundlens.operators.snapshots import asc, desc, first_per_key, latest_snapshot, latest_snapshot_filtered
 from fundlens.plans import fx_refresh as fr
 from fundlens.plans.navfx import asof_join
-from fundlens.plans.star import topk_per_group
 
 D = dt.date
 
@@ -43,16 +46,39 @@ def test_global_row_number(spark):
     assert sorted(map(tuple, got.select("v", "id", "rn").collect())) == sorted(map(tuple, exp.collect()))
 
 
-def test_topk_per_group_with_hot_key(spark):
-    # one key holds about a third of all rows
+def test_group_row_number_with_hot_key(spark):
+    # one key holds about a third of all rows and spans several partitions
     df = spark.range(0, 3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 50 != 0, (F.col("id") % 50).cast("string")).alias("g"),
         F.col("id").alias("fund"), ((F.col("id") * 7919) % 1000).cast("double").alias("v"))
     order = [F.col("v").desc(), F.col("fund").asc()]
-    got = topk_per_group(df, ["g"], order, 5, ["fund"], buckets=8)
-    w = Window.partitionBy("g").orderBy(*order)
-    exp = df.withColumn("rank_no", F.row_number().over(w).cast("long")).where("rank_no <= 5")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    got = group_row_number(df, ["g"], order)
+    exp = df.withColumn("rank_no", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect()))
+
+
+def test_exact_sum_neither_clips_nor_drops(spark):
+    big = spark.createDataFrame([(5e12,), (2e13,), (3e13,)], "v double")
+    assert big.agg(exact_sum("v")).first()[0] == 5.5e13
+    assert spark.range(1_000_000).agg(exact_sum(F.lit(4e-7))).first()[0] == pytest.approx(0.4, abs=1e-9)
+    mixed = spark.createDataFrame([(-1.25,), (None,), (0.5,)], "v double")
+    assert mixed.agg(exact_sum("v")).first()[0] == -0.75
+
+
+def test_asof_join_with_repeated_rates(spark):
+    # two spellings and a repeated day: one row per NAV row, no rate from a later day
+    fx = spark.createDataFrame(
+        [("USD", D(2024, 1, 5), 35.0), ("usd", D(2024, 1, 5), 36.0), ("USD", D(2024, 1, 8), 40.0)],
+        "from_ccy string, date_rate date, rate_to_thb double")
+    nav = spark.createDataFrame([("USD", D(2024, 1, d)) for d in (4, 5, 6, 8, 9)], "ccy string, d date")
+    got = sorted((r.d.day, r.asof_rate, r.asof_date and r.asof_date.day) for r in asof_join(nav, "ccy", "d", fx).collect())
+    assert got == [(4, None, None), (5, 36.0, 5), (6, 36.0, 5), (8, 40.0, 8), (9, 40.0, 8)]
+
+
+def test_missing_tables_reports_an_empty_one(spark):
+    full, empty = spark.range(3), spark.range(0)
+    got = quality.missing_tables({"a": full, "b": empty}, required=("a", "b", "c"))
+    assert sorted(r[0] for r in got.collect()) == ["b", "c"]
 
 
 def test_attach_scalars(spark):

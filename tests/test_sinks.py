@@ -1,26 +1,10 @@
-"""Sinks and distribution guards."""
+"""Sinks."""
 
 from pyspark.sql import functions as F
 
-from fundlens.operators.distribution import broadcast_if_small, row_count_at_most
 from fundlens.sources.sinks import catalog_profile, fx_alias_view, sample_rows, write_tables
 
 
-def _plan(df) -> str:
-    return df._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_broadcast_guard_falls_back(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert row_count_at_most(small, 10) and not row_count_at_most(big, 10)
-    left = spark.range(100).withColumnRenamed("id", "k")
-    hinted = left.join(broadcast_if_small(small.withColumnRenamed("id", "k"), 10), "k")
-    plain = left.join(broadcast_if_small(big.withColumnRenamed("id", "k"), 10), "k")
-    assert "broadcast" in _plan(hinted).lower()
-    assert "broadcast" not in _plan(plain).lower()
-
-
 def test_catalog_profile_and_views(spark, tmp_dir):
     fx = spark.createDataFrame(
         [("2024-01-01", "USD", "THB", 35.0, "s", None)],
