@@ -56,7 +56,7 @@ REPORTS = (
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”«»„]")
 BORDER = re.compile(r"[.!?;\n]+")
 PATTERNS = ("insult", "insult+target", "insult-negated", "insult-reported", "threat", "threat+target", "threat-negated", "threat-reported")
-PRIOR = np.array([-3.0, 3.0, 4.0, -0.5, 0.2, 1.5, 4.5, -0.5, 0.2])  # bias, then PATTERNS
+PRIOR = np.array([-3.0, 4.0, 6.0, -0.5, 0.2, 1.5, 6.0, -0.5, 0.2])  # bias, then PATTERNS
 
 
 class Transducer:
