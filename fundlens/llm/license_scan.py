@@ -202,8 +202,18 @@ def train(negatives: list[str], variants: int = 12, strength: float = 0.02, step
     return LicenseModel(names, np.round(w[:-1], 6), np.round(w[-1], 6), temperature)
 
 
+def _trie(ws: list[str]) -> str:
+    """One pattern for the words, branching once for each letter."""
+    out = []
+    for c in sorted({w[0] for w in ws if w}):
+        rest = _trie([w[1:] for w in ws if w[:1] == c])
+        out.append(c + rest)
+    body = out[0] if len(out) == 1 else "(?:" + "|".join(out) + ")" if out else ""
+    return f"(?:{body})?" if body and "" in ws else body
+
+
 def _cue_pattern() -> str:
-    return r"(?<![\p{L}\p{N}])(?:" + "|".join(cue_words()) + r")(?![\p{L}\p{N}])"
+    return r"(?<![\p{L}\p{N}])" + _trie(cue_words()) + r"(?![\p{L}\p{N}])"
 
 
 def cue_paragraphs(docs: DataFrame) -> DataFrame:
