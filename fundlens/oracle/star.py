@@ -15,9 +15,12 @@ SELECT h.fund_code, d.id AS fund_id, h.symbol, h.name AS holding_name, h.sector,
        coalesce(CAST(h.percent AS DOUBLE), 0.0::DOUBLE) AS percent,
        coalesce(CAST(a.aum AS DOUBLE), 0.0::DOUBLE) AS aum,
        (coalesce(CAST(h.percent AS DOUBLE), 0.0::DOUBLE) * coalesce(CAST(a.aum AS DOUBLE), 0.0::DOUBLE)) / 100.0::DOUBLE AS value_thb,
-       regexp_matches(upper(coalesce(h.type, '')), 'FUND|UNIT|TRUST') AS is_master
+       regexp_matches(upper(coalesce(h.type, '')), 'FUND|UNIT|TRUST') AS is_master,
+       CAST(h.as_of_date AS DATE) AS as_of_date, coalesce(CAST(n.aum AS DOUBLE), 0.0::DOUBLE) AS nav_thb,
+       (coalesce(CAST(h.percent AS DOUBLE), 0.0::DOUBLE) * coalesce(CAST(n.aum AS DOUBLE), 0.0::DOUBLE)) / 100.0::DOUBLE AS thb_value
 FROM ({latest_snapshot('funds_holding', 'fund_code', 'as_of_date', 'h.*')}) h
 LEFT JOIN o_thai_nav_aum a ON h.fund_code = a.fund_code
+LEFT JOIN o_nav n ON h.fund_code = n.fund_code
 JOIN o_dim_funds d ON h.fund_code = d.code""")
 
 define("o_master_rows", f"SELECT *, {strip('holding_name')} AS m_name FROM o_thai_holdings WHERE is_master AND holding_name IS NOT NULL")
@@ -87,8 +90,8 @@ FROM o_alloc_latest a JOIN o_dim_funds d ON a.fund_code = d.code""")
 
 define("o_top_thai", f"""
 SELECT row_number() OVER (ORDER BY total_thai_fund_value DESC NULLS LAST, symbol NULLS LAST) AS rank_no, * FROM (
-  SELECT g.sym AS symbol, g.total_thai_fund_value, g.total_weight_pct, g.fund_count, s.full_name
-  FROM (SELECT sym, {dsum('value_thb')} AS total_thai_fund_value, {dsum('percent')} AS total_weight_pct,
+  SELECT g.sym AS symbol, g.total_thai_fund_value, g.total_weight_pct, g.fund_count, s.full_name, g.holding_type, g.as_of_date
+  FROM (SELECT sym, min(type) AS holding_type, max(as_of_date) AS as_of_date, {dsum('thb_value')} AS total_thai_fund_value, {dsum('percent')} AS total_weight_pct,
                count(DISTINCT fund_code) AS fund_count FROM o_direct_rows GROUP BY sym) g
   LEFT JOIN o_dim_stocks s ON g.sym = s.symbol)""")
 
@@ -98,7 +101,7 @@ WITH th AS (
   FROM (SELECT CASE WHEN a.alloc_type = 'sector_alloc' THEN 'sector' ELSE 'country' END AS dimension, a.alloc_name AS name,
                (a.percentage * coalesce(n.aum, 0.0::DOUBLE)) / 100.0::DOUBLE AS value_thb, a.percentage AS weight_pct
         FROM o_alloc_rows a
-        LEFT JOIN (SELECT fund_code, coalesce(CAST(aum AS DOUBLE), 0.0::DOUBLE) AS aum FROM o_thai_nav_aum) n
+        LEFT JOIN (SELECT fund_code, coalesce(CAST(aum AS DOUBLE), 0.0::DOUBLE) AS aum FROM o_nav) n
           ON a.fund_code = n.fund_code)
   GROUP BY dimension, name),
 fo AS (
@@ -106,17 +109,20 @@ fo AS (
          total_true_weight_pct AS total_weight_pct FROM o_sector_agg
   UNION ALL
   SELECT 'FOREIGN', 'country', region_name, total_true_value_thb, total_true_weight_pct FROM o_country_agg),
-bo AS (SELECT * FROM th UNION ALL SELECT * FROM fo)
-SELECT * FROM bo
-UNION ALL
-SELECT 'ALL', dimension, name, {dsum('total_value_thb')}, {dsum('total_weight_pct')} FROM bo GROUP BY dimension, name""")
+bo AS (SELECT * FROM th UNION ALL SELECT * FROM fo),
+sc AS (SELECT * FROM bo
+       UNION ALL
+       SELECT 'ALL', dimension, name, {dsum('total_value_thb')}, {dsum('total_weight_pct')} FROM bo GROUP BY dimension, name)
+SELECT sc.*, CASE WHEN t.total <> 0 THEN sc.total_value_thb / t.total * 100.0::DOUBLE ELSE 0.0::DOUBLE END AS allocation_share_pct
+FROM sc JOIN (SELECT scope, dimension, {dsum('total_value_thb')} AS total FROM sc GROUP BY scope, dimension) t
+  ON sc.scope = t.scope AND sc.dimension = t.dimension""")
 
 define("o_scoped_cards", f"""
 WITH top AS (
-  SELECT scope, dimension, name FROM (
+  SELECT scope, dimension, name, allocation_share_pct FROM (
     SELECT *, row_number() OVER (PARTITION BY scope, dimension ORDER BY total_value_thb DESC NULLS LAST, name NULLS LAST) AS rn
     FROM o_scoped_exposure) WHERE rn = 1),
-th AS (SELECT fund_code, value_thb FROM o_thai_holdings),
+th AS (SELECT fund_code, thb_value AS value_thb FROM o_thai_holdings),
 fo AS (SELECT fund_code, true_value_thb AS value_thb FROM o_stock),
 c AS (
   SELECT 'TH' AS scope, {dsum('value_thb')} AS total_value_thb, count(DISTINCT fund_code) AS fund_count FROM th
@@ -125,21 +131,34 @@ c AS (
   UNION ALL
   SELECT 'ALL', {dsum('value_thb')}, count(DISTINCT fund_code) FROM (SELECT * FROM th UNION ALL SELECT * FROM fo))
 SELECT c.scope, coalesce(c.total_value_thb, 0.0::DOUBLE) AS total_value_thb, s.name AS top_sector_name,
-       k.name AS top_country_name, c.fund_count
-FROM c LEFT JOIN (SELECT * FROM top WHERE dimension = 'sector') s ON c.scope = s.scope
+       s.allocation_share_pct AS top_sector_weight_pct, k.name AS top_country_name,
+       k.allocation_share_pct AS top_country_weight_pct, c.fund_count,
+       CASE WHEN c.scope <> 'TH' THEN r.avg_fund_return_1y END AS avg_fund_return_1y,
+       CASE WHEN c.scope <> 'TH' THEN r.avg_fund_return_3y END AS avg_fund_return_3y,
+       CASE WHEN c.scope <> 'TH' THEN m.f END AS mapped_fund_count,
+       CASE WHEN c.scope <> 'TH' THEN m.t END AS mapped_master_count
+FROM c CROSS JOIN o_avg_return r
+CROSS JOIN (SELECT count(DISTINCT fund_code) AS f, count(DISTINCT ft_ticker) AS t FROM o_bridge_ok) m
+LEFT JOIN (SELECT * FROM top WHERE dimension = 'sector') s ON c.scope = s.scope
 LEFT JOIN (SELECT * FROM top WHERE dimension = 'country') k ON c.scope = k.scope""")
 
+SEARCH_COLS = ("min(holding_name) AS holding_name, max(aum) AS nav_thb, max(nav_as_of_date) AS as_of_date, "
+               "'Feeder Fund' AS investment_method")
+FUND_NAMES = "(SELECT fund_code, min(full_name_en) AS fund_name FROM funds_master_info GROUP BY fund_code)"
+
 define("o_asset_to_funds", f"""
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY holding_key ORDER BY value_thb DESC NULLS LAST, fund_code, map_method NULLS LAST) AS rank_no
-  FROM (SELECT holding_key, fund_code, map_method, {dsum('true_value_thb')} AS value_thb, {dsum('true_weight_pct')} AS pct_nav
-        FROM o_stock GROUP BY holding_key, fund_code, map_method))""")
+  FROM (SELECT holding_key, fund_code, map_method, {dsum('true_value_thb')} AS value_thb, {dsum('true_weight_pct')} AS pct_nav,
+               {SEARCH_COLS}
+        FROM o_stock GROUP BY holding_key, fund_code, map_method) LEFT JOIN {FUND_NAMES} USING (fund_code))""")
 
 define("o_fund_to_assets", f"""
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY fund_code ORDER BY value_thb DESC NULLS LAST, holding_key) AS rank_no
-  FROM (SELECT fund_code, holding_key, {dsum('true_value_thb')} AS value_thb, {dsum('true_weight_pct')} AS pct_nav
-        FROM o_stock GROUP BY fund_code, holding_key))""")
+  FROM (SELECT fund_code, holding_key, {dsum('true_value_thb')} AS value_thb, {dsum('true_weight_pct')} AS pct_nav,
+               {SEARCH_COLS}
+        FROM o_stock GROUP BY fund_code, holding_key) LEFT JOIN {FUND_NAMES} USING (fund_code))""")
 
 define("o_stock_aggregates", f"""
 SELECT symbol,
@@ -154,7 +173,7 @@ FROM (
          {dsum('CASE WHEN local THEN w END')} AS tw, {dsum('CASE WHEN NOT local THEN w END')} AS gw,
          count(DISTINCT fund_code) AS fund_count
   FROM (
-    SELECT sym AS symbol, fund_code, true AS local, value_thb AS v, percent AS w FROM o_direct_rows
+    SELECT sym AS symbol, fund_code, true AS local, thb_value AS v, percent AS w FROM o_direct_rows
     UNION ALL
     SELECT split_part(upper({strip("coalesce(symbol, '')")}), ':', 1), fund_code, false, holding_value_thb, pct_nav FROM o_fx_holdings)
   WHERE symbol IS NOT NULL
@@ -169,8 +188,18 @@ SELECT keyword, item_type, item_id, item_code, item_name, 100 AS priority FROM (
 WHERE keyword IS NOT NULL AND keyword <> ''""")
 
 define("o_investment_method", f"""
-SELECT investment_method, count(*) AS holding_rows, {dsum('value_thb')} AS total_value_thb FROM (
+SELECT investment_method, count(*) AS holding_rows, {dsum('thb_value')} AS total_value_thb FROM (
   SELECT CASE WHEN is_master THEN 'Feeder Fund'
               WHEN symbol IS NOT NULL AND trim(symbol) <> '' THEN 'Direct' ELSE 'Other' END AS investment_method,
-         value_thb
+         thb_value
   FROM o_thai_holdings) GROUP BY investment_method""")
+
+define("o_fund_holdings", """
+SELECT h.fund_id, s.id AS stock_id,
+       row_number() OVER (PARTITION BY h.fund_id ORDER BY h.thb_value DESC NULLS LAST, h.symbol NULLS LAST,
+                          h.holding_name NULLS LAST, h.type NULLS LAST, h.percent NULLS LAST) AS ranking,
+       h.investment_method, h.thb_value AS holding_value_thb, h.nav_thb, h.percent AS pct_nav, h.as_of_date
+FROM (SELECT *, CASE WHEN is_master THEN 'Feeder Fund'
+                     WHEN symbol IS NOT NULL AND trim(symbol) <> '' THEN 'Direct' ELSE 'Other' END AS investment_method
+      FROM o_thai_holdings) h
+LEFT JOIN o_dim_stocks s ON h.investment_method = 'Direct' AND upper(trim(h.symbol)) = s.symbol""")

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.numeric import exact_sum, null_to_zero
+from ..functions.numeric import exact_sum, null_to_zero, share_pct
 from ..functions.strings import clean_stock_name, extract_symbol, non_blank, normalize_ticker, strip_ws
-from ..operators.distribution import global_row_number, group_row_number
+from ..operators.distribution import attach_scalars, global_row_number, group_row_number
 from ..operators.snapshots import asc, first_per_key, latest_snapshot
 
 
@@ -50,20 +50,26 @@ class StarSchema:
 
     @cached_property
     def thai_holdings(self) -> DataFrame:
-        """J1 + J18 + J20: newest holdings of known funds with AUM and value."""
+        """J1 + J18 + J20: newest holdings of known funds with AUM and value.
+        ``value_thb`` follows the fact's rule (native AUM); ``nav_thb`` and
+        ``thb_value`` are converted, for outputs that add several funds."""
         h = latest_snapshot(self.src["funds_holding"], ["fund_code"], "as_of_date").select(
-            "fund_code", "symbol", F.col("name").alias("holding_name"), "sector", "percent", "type")
+            "fund_code", "symbol", F.col("name").alias("holding_name"), "sector", "percent", "type",
+            F.col("as_of_date").cast("date").alias("as_of_date"))
         aum = self.m.ds.thai_nav_aum.select("fund_code", "aum")
-        h = h.join(aum, "fund_code", "left")
+        nav = self.m.nav.select("fund_code", null_to_zero("aum").alias("nav_thb"))
+        h = h.join(aum, "fund_code", "left").join(nav, "fund_code", "left")
         funds = self.dim_funds.select(F.col("code").alias("fund_code"), F.col("id").alias("fund_id"))
         h = h.join(funds, "fund_code", "inner")
         pct = null_to_zero("percent")
         aum0 = null_to_zero("aum")
+        nav0 = null_to_zero("nav_thb")
         # read by five outputs: shared like the mart's own frames
         return self.m._keep(h.select(
             "fund_code", "fund_id", "symbol", "holding_name", "sector", "type",
             pct.alias("percent"), aum0.alias("aum"), ((pct * aum0) / 100.0).alias("value_thb"),
-            classify_instrument("type").alias("is_master"),
+            classify_instrument("type").alias("is_master"), "as_of_date", nav0.alias("nav_thb"),
+            ((pct * nav0) / 100.0).alias("thb_value"),
         ))
 
     @cached_property
@@ -167,9 +173,10 @@ class StarSchema:
     def top_thai_holdings(self) -> DataFrame:
         """G1: direct holdings by symbol, ranked by value."""
         d = self.direct_rows.groupBy("sym").agg(
-            exact_sum("value_thb").alias("total_thai_fund_value"),
+            exact_sum("thb_value").alias("total_thai_fund_value"),
             exact_sum("percent").alias("total_weight_pct"),
             F.countDistinct("fund_code").cast("long").alias("fund_count"),
+            F.min("type").alias("holding_type"), F.max("as_of_date").alias("as_of_date"),
         )
         names = self.dim_stocks.select(F.col("symbol").alias("sym"), "full_name")
         d = d.join(names, "sym", "left").withColumnRenamed("sym", "symbol")
@@ -184,7 +191,7 @@ class StarSchema:
             F.col("total_true_value_thb").alias("global_fund_value"))
 
     def thai_alloc_value(self) -> DataFrame:
-        aum = self.m.ds.thai_nav_aum.select("fund_code", null_to_zero("aum").alias("aum"))
+        aum = self.m.nav.select("fund_code", null_to_zero("aum").alias("aum"))
         a = self.alloc_rows.join(aum, "fund_code", "left")
         return a.select(
             F.when(F.col("alloc_type") == "sector_alloc", "sector").otherwise("country").alias("dimension"),
@@ -208,17 +215,24 @@ class StarSchema:
         al = both.groupBy("dimension", "name").agg(
             exact_sum("total_value_thb").alias("total_value_thb"),
             exact_sum("total_weight_pct").alias("total_weight_pct")).withColumn("scope", F.lit("ALL"))
-        return both.unionByName(al).select("scope", "dimension", "name", "total_value_thb", "total_weight_pct")
+        rows = both.unionByName(al)
+        totals = rows.groupBy("scope", "dimension").agg(exact_sum("total_value_thb").alias("_total"))
+        return rows.join(totals, ["scope", "dimension"]).select(
+            "scope", "dimension", "name", "total_value_thb", "total_weight_pct",
+            share_pct("total_value_thb", "_total").alias("allocation_share_pct"))
 
     def scoped_cards(self) -> DataFrame:
-        """One card row per scope (TH, FOREIGN, ALL)."""
+        """One card row per scope (TH, FOREIGN, ALL); returns and mapped
+        counts come from the look-through and are null for TH."""
         ex = self.scoped_exposure()
         top = first_per_key(
-            ex.select("scope", "dimension", "name", (-F.col("total_value_thb")).alias("neg")),
+            ex.select("scope", "dimension", "name", "allocation_share_pct", (-F.col("total_value_thb")).alias("neg")),
             ["scope", "dimension"], [asc("neg"), asc("name")])
-        top_sector = top.where(F.col("dimension") == "sector").select("scope", F.col("name").alias("top_sector_name"))
-        top_country = top.where(F.col("dimension") == "country").select("scope", F.col("name").alias("top_country_name"))
-        th_rows = self.thai_holdings.select("fund_code", "value_thb")
+        top_sector = top.where(F.col("dimension") == "sector").select(
+            "scope", F.col("name").alias("top_sector_name"), F.col("allocation_share_pct").alias("top_sector_weight_pct"))
+        top_country = top.where(F.col("dimension") == "country").select(
+            "scope", F.col("name").alias("top_country_name"), F.col("allocation_share_pct").alias("top_country_weight_pct"))
+        th_rows = self.thai_holdings.select("fund_code", F.col("thb_value").alias("value_thb"))
         th = th_rows.agg(exact_sum("value_thb").alias("total_value_thb"),
                          F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn("scope", F.lit("TH"))
         fx_rows = self.m.stock.select("fund_code", F.col("true_value_thb").alias("value_thb"))
@@ -230,20 +244,32 @@ class StarSchema:
             "scope", F.lit("ALL"))
         cards = th.unionByName(fo).unionByName(al)
         cards = cards.join(top_sector, "scope", "left").join(top_country, "scope", "left")
+        counts = self.m.bridge_ok.agg(
+            F.countDistinct("fund_code").cast("long").alias("mapped_fund_count"),
+            F.countDistinct("ft_ticker").cast("long").alias("mapped_master_count"))
+        cards = attach_scalars(attach_scalars(cards, self.m.returns), counts)
+        mapped = ["avg_fund_return_1y", "avg_fund_return_3y", "mapped_fund_count", "mapped_master_count"]
         return cards.select("scope", F.coalesce("total_value_thb", F.lit(0.0)).alias("total_value_thb"),
-                            "top_sector_name", "top_country_name", "fund_count")
+                            "top_sector_name", "top_sector_weight_pct", "top_country_name", "top_country_weight_pct",
+                            "fund_count", *[F.when(F.col("scope") != "TH", F.col(c)).alias(c) for c in mapped])
+
+    def _search_rows(self, keys: list[str]) -> DataFrame:
+        s = self.m.stock.groupBy(*keys).agg(
+            exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"),
+            F.min("holding_name").alias("holding_name"), F.max("aum").alias("nav_thb"),
+            F.max("nav_as_of_date").alias("as_of_date"))
+        names = self.src["funds_master_info"].groupBy("fund_code").agg(F.min("full_name_en").alias("fund_name"))
+        return s.join(names, "fund_code", "left").withColumn("investment_method", F.lit("Feeder Fund"))
 
     def search_asset_to_funds(self) -> DataFrame:
         """Per asset, all its funds ranked by value (% of fund NAV, method)."""
-        s = self.m.stock.groupBy("holding_key", "fund_code", "map_method").agg(
-            exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"))
+        s = self._search_rows(["holding_key", "fund_code", "map_method"])
         order = [F.col("value_thb").desc_nulls_last(), F.col("fund_code").asc(), F.col("map_method").asc_nulls_last()]
         return group_row_number(s, ["holding_key"], order)
 
     def search_fund_to_assets(self) -> DataFrame:
         """Per fund, all its look-through assets ranked by value."""
-        s = self.m.stock.groupBy("fund_code", "holding_key").agg(
-            exact_sum("true_value_thb").alias("value_thb"), exact_sum("true_weight_pct").alias("pct_nav"))
+        s = self._search_rows(["fund_code", "holding_key"])
         order = [F.col("value_thb").desc_nulls_last(), F.col("holding_key").asc()]
         return group_row_number(s, ["fund_code"], order)
 
@@ -251,7 +277,7 @@ class StarSchema:
         """Local and look-through exposure per symbol; a fund that holds a
         symbol both ways counts once."""
         th = self.direct_rows.select(F.col("sym").alias("symbol"), "fund_code", F.lit(True).alias("local"),
-                                     F.col("value_thb").alias("v"), F.col("percent").alias("w"))
+                                     F.col("thb_value").alias("v"), F.col("percent").alias("w"))
         gl = self.fx_holdings.select(normalize_ticker("symbol").alias("symbol"), "fund_code", F.lit(False).alias("local"),
                                      F.col("holding_value_thb").alias("v"), F.col("pct_nav").alias("w"))
         per_symbol = th.unionByName(gl).where(F.col("symbol").isNotNull()).groupBy("symbol").agg(
@@ -281,10 +307,27 @@ class StarSchema:
 
     def investment_method(self) -> DataFrame:
         """Direct / Feeder Fund / Other per holding row, summarised."""
+        return self._with_method().groupBy("investment_method").agg(
+            F.count(F.lit(1)).alias("holding_rows"), exact_sum("thb_value").alias("total_value_thb"))
+
+    def _with_method(self) -> DataFrame:
         h = self.thai_holdings.withColumn("sym", extract_symbol("symbol", "symbol"))
         method = F.when(F.col("is_master"), "Feeder Fund").when(F.col("sym").isNotNull(), "Direct").otherwise("Other")
-        return h.groupBy(method.alias("investment_method")).agg(
-            F.count(F.lit(1)).alias("holding_rows"), exact_sum("value_thb").alias("total_value_thb"))
+        return h.withColumn("investment_method", method)
+
+    def fund_holdings(self) -> DataFrame:
+        """Every local holding with its method and rank in its fund; only
+        direct holdings have a stock id."""
+        h = self._with_method()
+        stocks = self.dim_stocks.select(F.col("symbol").alias("sym"), F.col("id").alias("stock_id"))
+        direct = F.col("investment_method") == "Direct"
+        rows = h.where(direct).join(stocks, "sym").unionByName(
+            h.where(~direct).withColumn("stock_id", F.lit(None).cast("long")))
+        order = [F.col("thb_value").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ("symbol", "holding_name", "type", "percent")]]
+        ranked = group_row_number(rows, ["fund_id"], order)
+        return ranked.select(
+            "fund_id", "stock_id", F.col("rank_no").alias("ranking"), "investment_method",
+            F.col("thb_value").alias("holding_value_thb"), "nav_thb", F.col("percent").alias("pct_nav"), "as_of_date")
 
     def stock_type_counts(self) -> DataFrame:
         """Stock types emitted (TH / FOREIGN; GOLD stays accepted)."""

@@ -63,7 +63,8 @@ def q_fact_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @alias(["join_holdings_aum"], """
-SELECT fund_code, fund_id, symbol, holding_name, sector, type, percent, aum, value_thb, is_master FROM o_thai_holdings""")
+SELECT fund_code, fund_id, symbol, holding_name, sector, type, percent, aum, value_thb, is_master, as_of_date,
+       nav_thb, thb_value FROM o_thai_holdings""")
 def q_holdings_aum(spark: SparkSession, sf: str) -> DataFrame:
     return _star(spark, sf).thai_holdings
 
@@ -79,6 +80,12 @@ def q_breakdown(spark: SparkSession, sf: str) -> DataFrame:
     return _star(spark, sf).breakdown("sector")
 
 
+@alias(["alloc_breakdown_country"], """
+SELECT fund_id, alloc_name AS country_name, percentage FROM o_alloc_rows WHERE alloc_type = 'country_alloc'""")
+def q_breakdown_country(spark: SparkSession, sf: str) -> DataFrame:
+    return _star(spark, sf).breakdown("country")
+
+
 @alias(["clean_stock_name"], "SELECT fund_code, sym, holding_name, full_name FROM o_direct_rows")
 def q_clean_stock(spark: SparkSession, sf: str) -> DataFrame:
     return _star(spark, sf).direct_rows.select("fund_code", "sym", "holding_name", "full_name")
@@ -146,6 +153,11 @@ def q_investment_method(spark: SparkSession, sf: str) -> DataFrame:
     return _star(spark, sf).investment_method()
 
 
+@alias(["api_fund_holdings"], "SELECT * FROM o_fund_holdings")
+def q_fund_holdings(spark: SparkSession, sf: str) -> DataFrame:
+    return _star(spark, sf).fund_holdings()
+
+
 @alias(["gold_stock_type"], """
 SELECT stock_type, count(*) AS stocks, stock_type IN ('TH', 'FOREIGN', 'GOLD') AS accepted FROM o_dim_stocks GROUP BY stock_type""")
 def q_stock_types(spark: SparkSession, sf: str) -> DataFrame:
