@@ -175,14 +175,41 @@ def payload_items(m) -> DataFrame:
                              F.col("total_true_value_thb").alias("value_thb"),
                              F.col("total_true_weight_pct").alias("weight_pct"))
 
-    search = search_top(search_by_fund(m.stock_shared))
-    # at most SEARCH_PAYLOAD_LIMIT rows: a bounded window
-    search = search.withColumn("position", F.row_number().over(Window.orderBy(*search_order())).cast("long"))
-    search = search.select(F.lit("search_by_fund").alias("section"), "position", F.col("fund_code").alias("name"),
-                           F.col("total_true_value_thb").alias("value_thb"),
-                           F.col("total_true_weight_pct").alias("weight_pct"))
-    parts = [cards, top, alloc(m.sector_agg, "sector_name", "sector_allocation_global"),
-             alloc(m.country_agg, "region_name", "country_allocation_global"), search]
+    def search(name: str, section: str) -> DataFrame:
+        found = search_top(search_by_fund(m.stock_shared))
+        # at most SEARCH_PAYLOAD_LIMIT rows: a bounded window
+        found = found.withColumn("position", F.row_number().over(Window.orderBy(*search_order())).cast("long"))
+        return found.select(F.lit(section).alias("section"), "position", F.col(name).alias("name"),
+                            F.col("total_true_value_thb").alias("value_thb"),
+                            F.col("total_true_weight_pct").alias("weight_pct"))
+
+    scoped = m.star.scoped_cards()
+
+    def summary(scope: str, section: str) -> DataFrame:
+        return scoped.where(F.col("scope") == scope).select(
+            F.lit(section).alias("section"), F.lit(1).cast("long").alias("position"),
+            F.col("top_sector_name").alias("name"), F.col("total_value_thb").alias("value_thb"),
+            F.col("top_sector_weight_pct").alias("weight_pct"))
+
+    thai = m.star.top_thai_holdings().select(
+        F.col("rank_no").alias("position"), F.col("symbol").alias("name"),
+        F.col("total_thai_fund_value").alias("value_thb"), F.col("total_weight_pct").alias("weight_pct"))
+    everything = m.star.top_global_traceability().select(
+        F.lit("top_global_traceability_all").alias("section"), F.col("rank_no").alias("position"),
+        F.col("holding_name").alias("name"), F.col("global_fund_value").alias("value_thb"),
+        F.col("total_weight_pct").alias("weight_pct"))
+    local = m.star.scoped_exposure().where("scope = 'TH'").select(
+        "dimension", "name", F.col("total_value_thb").alias("total_true_value_thb"),
+        F.col("total_weight_pct").alias("total_true_weight_pct"))
+    parts = [cards, summary("TH", "dashboard_summary_thai"), summary("FOREIGN", "dashboard_summary_global"),
+             thai.where(F.col("position") <= m.n).withColumn("section", F.lit("top_thai_holdings_top10")),
+             thai.withColumn("section", F.lit("top_thai_holdings_all")),
+             top, everything,
+             alloc(local.where("dimension = 'sector'"), "name", "sector_allocation_thai"),
+             alloc(m.sector_agg, "sector_name", "sector_allocation_global"),
+             alloc(local.where("dimension = 'country'"), "name", "country_allocation_thai"),
+             alloc(m.country_agg, "region_name", "country_allocation_global"),
+             search("fund_code", "search_by_fund"), search("holding_name", "search_by_asset")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

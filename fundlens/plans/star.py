@@ -200,6 +200,10 @@ class StarSchema:
             F.col("percentage").alias("weight_pct"))
 
     def scoped_exposure(self) -> DataFrame:
+        return self._scoped
+
+    @cached_property
+    def _scoped(self) -> DataFrame:
         """Sector / country exposure for scopes TH, FOREIGN and ALL."""
         th = self.thai_alloc_value().groupBy("dimension", "name").agg(
             exact_sum("value_thb").alias("total_value_thb"), exact_sum("weight_pct").alias("total_weight_pct"))
@@ -211,7 +215,8 @@ class StarSchema:
                                        F.col("total_true_value_thb").alias("total_value_thb"),
                                        F.col("total_true_weight_pct").alias("total_weight_pct"))
         foreign = fs.unionByName(fc).withColumn("scope", F.lit("FOREIGN"))
-        both = th.unionByName(foreign)
+        # a row for each label; read by the ALL scope, the totals, the cards and the payload
+        both = self.m._keep(th.unionByName(foreign))
         al = both.groupBy("dimension", "name").agg(
             exact_sum("total_value_thb").alias("total_value_thb"),
             exact_sum("total_weight_pct").alias("total_weight_pct")).withColumn("scope", F.lit("ALL"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
-from ..oracle import stages  # noqa: F401
+from ..oracle import stages, star  # noqa: F401
 from ..oracle.ctes import define
 from ..oracle.stages import dsum, strip
 from ..plans import serving as sv
@@ -159,7 +159,23 @@ SELECT 'country_allocation_global', row_number() OVER (ORDER BY total_true_value
        region_name, total_true_value_thb, total_true_weight_pct FROM o_country_agg
 UNION ALL
 SELECT 'search_by_fund', row_number() OVER (ORDER BY {SEARCH_ORDER}), fund_code, total_true_value_thb, total_true_weight_pct
-FROM (SELECT * FROM o_search_by_fund ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_PAYLOAD_LIMIT})""")
+FROM (SELECT * FROM o_search_by_fund ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_PAYLOAD_LIMIT})
+UNION ALL
+SELECT 'search_by_asset', row_number() OVER (ORDER BY {SEARCH_ORDER}), holding_name, total_true_value_thb, total_true_weight_pct
+FROM (SELECT * FROM o_search_by_fund ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_PAYLOAD_LIMIT})
+UNION ALL
+SELECT CASE WHEN scope = 'TH' THEN 'dashboard_summary_thai' ELSE 'dashboard_summary_global' END, 1, top_sector_name,
+       total_value_thb, top_sector_weight_pct FROM o_scoped_cards WHERE scope <> 'ALL'
+UNION ALL
+SELECT 'top_thai_holdings_top10', rank_no, symbol, total_thai_fund_value, total_weight_pct FROM o_top_thai WHERE rank_no <= {config.TOP_N}
+UNION ALL
+SELECT 'top_thai_holdings_all', rank_no, symbol, total_thai_fund_value, total_weight_pct FROM o_top_thai
+UNION ALL
+SELECT 'top_global_traceability_all', rank_no, holding_name, total_true_value_thb, total_true_weight_pct FROM o_top_holdings
+UNION ALL
+SELECT dimension || '_allocation_thai',
+       row_number() OVER (PARTITION BY dimension ORDER BY total_value_thb DESC NULLS LAST, name NULLS LAST),
+       name, total_value_thb, total_weight_pct FROM o_scoped_exposure WHERE scope = 'TH'""")
 
 
 @alias(["dashboard_payload", "payload_export"], "SELECT * FROM o_payload_items")
