@@ -99,6 +99,10 @@ SMOKE_MIN_ROWS = (
 STOCK_TYPE_TH = "TH"
 STOCK_TYPE_FOREIGN = "FOREIGN"
 STOCK_TYPES = ("TH", "FOREIGN", "GOLD")
+SCOPES = ("TH", "FOREIGN", "ALL")
+INVESTMENT_METHODS = ("Direct", "Feeder Fund", "Other")
+ITEM_TYPES = ("STOCK", "FUND")
+ALLOC_TYPES = ("sector", "country", "asset_class", "other")
 TH_COUNTRY = "Thailand"
 FOREIGN_COUNTRY = "USA"
 FOREIGN_SECTOR = "Global Sector"

@@ -76,7 +76,7 @@ JOIN o_dim_stocks s ON x.symbol = s.symbol
 GROUP BY fm.master_fund_id, s.id""")
 
 define("o_alloc_latest", """
-SELECT a.fund_code, a.type, a.name, a.percent FROM funds_allocations a
+SELECT a.fund_code, a.type, a.name, a.percent, CAST(a.as_of_date AS DATE) AS as_of_date FROM funds_allocations a
 JOIN (SELECT fund_code, type, max(as_of_date) AS d FROM funds_allocations
       WHERE type IN ('sector_alloc', 'country_alloc') AND fund_code IS NOT NULL AND as_of_date IS NOT NULL
       GROUP BY fund_code, type) l
@@ -85,7 +85,7 @@ WHERE a.name IS NOT NULL AND trim(a.name) <> ''""")
 
 define("o_alloc_rows", f"""
 SELECT a.fund_code, d.id AS fund_id, lower({strip('a.type')}) AS alloc_type, {strip('a.name')} AS alloc_name,
-       coalesce(CAST(a.percent AS DOUBLE), 0.0::DOUBLE) AS percentage
+       coalesce(CAST(a.percent AS DOUBLE), 0.0::DOUBLE) AS percentage, a.as_of_date
 FROM o_alloc_latest a JOIN o_dim_funds d ON a.fund_code = d.code""")
 
 define("o_top_thai", f"""
@@ -97,22 +97,24 @@ SELECT row_number() OVER (ORDER BY total_thai_fund_value DESC NULLS LAST, symbol
 
 define("o_scoped_exposure", f"""
 WITH th AS (
-  SELECT 'TH' AS scope, dimension, name, {dsum('value_thb')} AS total_value_thb, {dsum('weight_pct')} AS total_weight_pct
+  SELECT 'TH' AS scope, dimension, name, {dsum('value_thb')} AS total_value_thb, {dsum('weight_pct')} AS total_weight_pct,
+         max(as_of_date) AS as_of_date
   FROM (SELECT CASE WHEN a.alloc_type = 'sector_alloc' THEN 'sector' ELSE 'country' END AS dimension, a.alloc_name AS name,
-               (a.percentage * coalesce(n.aum, 0.0::DOUBLE)) / 100.0::DOUBLE AS value_thb, a.percentage AS weight_pct
+               (a.percentage * coalesce(n.aum, 0.0::DOUBLE)) / 100.0::DOUBLE AS value_thb, a.percentage AS weight_pct, a.as_of_date
         FROM o_alloc_rows a
         LEFT JOIN (SELECT fund_code, coalesce(CAST(aum AS DOUBLE), 0.0::DOUBLE) AS aum FROM o_nav) n
           ON a.fund_code = n.fund_code)
   GROUP BY dimension, name),
+nd AS (SELECT CAST(max(nav_as_of_date) AS DATE) AS as_of_date FROM o_stock),
 fo AS (
   SELECT 'FOREIGN' AS scope, 'sector' AS dimension, sector_name AS name, total_true_value_thb AS total_value_thb,
-         total_true_weight_pct AS total_weight_pct FROM o_sector_agg
+         total_true_weight_pct AS total_weight_pct, as_of_date FROM o_sector_agg, nd
   UNION ALL
-  SELECT 'FOREIGN', 'country', region_name, total_true_value_thb, total_true_weight_pct FROM o_country_agg),
+  SELECT 'FOREIGN', 'country', region_name, total_true_value_thb, total_true_weight_pct, as_of_date FROM o_country_agg, nd),
 bo AS (SELECT * FROM th UNION ALL SELECT * FROM fo),
 sc AS (SELECT * FROM bo
        UNION ALL
-       SELECT 'ALL', dimension, name, {dsum('total_value_thb')}, {dsum('total_weight_pct')} FROM bo GROUP BY dimension, name)
+       SELECT 'ALL', dimension, name, {dsum('total_value_thb')}, {dsum('total_weight_pct')}, max(as_of_date) FROM bo GROUP BY dimension, name)
 SELECT sc.*, CASE WHEN t.total <> 0 THEN sc.total_value_thb / t.total * 100.0::DOUBLE ELSE 0.0::DOUBLE END AS allocation_share_pct
 FROM sc JOIN (SELECT scope, dimension, {dsum('total_value_thb')} AS total FROM sc GROUP BY scope, dimension) t
   ON sc.scope = t.scope AND sc.dimension = t.dimension""")
@@ -122,17 +124,19 @@ WITH top AS (
   SELECT scope, dimension, name, allocation_share_pct FROM (
     SELECT *, row_number() OVER (PARTITION BY scope, dimension ORDER BY total_value_thb DESC NULLS LAST, name NULLS LAST) AS rn
     FROM o_scoped_exposure) WHERE rn = 1),
-th AS (SELECT fund_code, thb_value AS value_thb FROM o_thai_holdings),
-fo AS (SELECT fund_code, true_value_thb AS value_thb FROM o_stock),
+th AS (SELECT fund_code, thb_value AS value_thb, as_of_date FROM o_thai_holdings),
+fo AS (SELECT fund_code, true_value_thb AS value_thb, CAST(nav_as_of_date AS DATE) AS as_of_date FROM o_stock),
 c AS (
-  SELECT 'TH' AS scope, {dsum('value_thb')} AS total_value_thb, count(DISTINCT fund_code) AS fund_count FROM th
+  SELECT 'TH' AS scope, {dsum('value_thb')} AS total_value_thb, count(DISTINCT fund_code) AS fund_count,
+         max(as_of_date) AS as_of_date FROM th
   UNION ALL
-  SELECT 'FOREIGN', {dsum('value_thb')}, count(DISTINCT fund_code) FROM fo
+  SELECT 'FOREIGN', {dsum('value_thb')}, count(DISTINCT fund_code), max(as_of_date) FROM fo
   UNION ALL
-  SELECT 'ALL', {dsum('value_thb')}, count(DISTINCT fund_code) FROM (SELECT * FROM th UNION ALL SELECT * FROM fo))
+  SELECT 'ALL', {dsum('value_thb')}, count(DISTINCT fund_code), max(as_of_date)
+  FROM (SELECT * FROM th UNION ALL SELECT * FROM fo))
 SELECT c.scope, coalesce(c.total_value_thb, 0.0::DOUBLE) AS total_value_thb, s.name AS top_sector_name,
        s.allocation_share_pct AS top_sector_weight_pct, k.name AS top_country_name,
-       k.allocation_share_pct AS top_country_weight_pct, c.fund_count,
+       k.allocation_share_pct AS top_country_weight_pct, c.fund_count, c.as_of_date,
        CASE WHEN c.scope <> 'TH' THEN r.avg_fund_return_1y END AS avg_fund_return_1y,
        CASE WHEN c.scope <> 'TH' THEN r.avg_fund_return_3y END AS avg_fund_return_3y,
        CASE WHEN c.scope <> 'TH' THEN m.f END AS mapped_fund_count,
@@ -161,7 +165,8 @@ SELECT * FROM (
         FROM o_stock GROUP BY fund_code, holding_key) LEFT JOIN {FUND_NAMES} USING (fund_code))""")
 
 define("o_stock_aggregates", f"""
-SELECT symbol,
+SELECT symbol, (SELECT min(s.id) FROM o_dim_stocks s
+                WHERE s.symbol = g.symbol OR split_part(upper({strip("s.symbol")}), ':', 1) = g.symbol) AS stock_id,
        coalesce(tv, 0.0::DOUBLE) AS thai_value_thb,
        coalesce(gv, 0.0::DOUBLE) AS global_value_thb,
        coalesce(tv, 0.0::DOUBLE) + coalesce(gv, 0.0::DOUBLE) AS total_exposure_thb,
@@ -177,7 +182,7 @@ FROM (
     UNION ALL
     SELECT split_part(upper({strip("coalesce(symbol, '')")}), ':', 1), fund_code, false, holding_value_thb, pct_nav FROM o_fx_holdings)
   WHERE symbol IS NOT NULL
-  GROUP BY symbol)""")
+  GROUP BY symbol) g""")
 
 define("o_suggestions", """
 SELECT keyword, item_type, item_id, item_code, item_name, 100 AS priority FROM (

@@ -20,7 +20,8 @@ def latest_allocations(allocations: DataFrame) -> DataFrame:
     the type filter sits inside the latest-date computation."""
     a = allocations.where(F.col("type").isin("sector_alloc", "country_alloc"))
     snap = latest_snapshot(a, ["fund_code", "type"], "as_of_date")
-    return snap.where(non_blank("name")).select("fund_code", "type", "name", "percent")
+    return snap.where(non_blank("name")).select(
+        "fund_code", "type", "name", "percent", F.col("as_of_date").cast("date").alias("as_of_date"))
 
 
 def classify_instrument(type_col: str = "type"):
@@ -149,7 +150,7 @@ class StarSchema:
         funds = self.dim_funds.select(F.col("code").alias("fund_code"), F.col("id").alias("fund_id"))
         a = a.join(funds, "fund_code", "inner")
         return a.select("fund_code", "fund_id", F.lower(strip_ws("type")).alias("alloc_type"),
-                        strip_ws("name").alias("alloc_name"), null_to_zero("percent").alias("percentage"))
+                        strip_ws("name").alias("alloc_name"), null_to_zero("percent").alias("percentage"), "as_of_date")
 
     def breakdown(self, kind: str) -> DataFrame:
         """Sector or country breakdown per fund."""
@@ -197,16 +198,19 @@ class StarSchema:
             F.when(F.col("alloc_type") == "sector_alloc", "sector").otherwise("country").alias("dimension"),
             F.col("alloc_name").alias("name"),
             ((F.col("percentage") * null_to_zero("aum")) / 100.0).alias("value_thb"),
-            F.col("percentage").alias("weight_pct"))
+            F.col("percentage").alias("weight_pct"), "as_of_date")
 
     def scoped_exposure(self) -> DataFrame:
         return self._scoped
 
     @cached_property
     def _scoped(self) -> DataFrame:
-        """Sector / country exposure for scopes TH, FOREIGN and ALL."""
+        """Sector / country exposure for scopes TH, FOREIGN and ALL.
+        ``as_of_date``: newest allocation of the label (TH), newest NAV behind
+        the look-through (FOREIGN), the later of both (ALL)."""
         th = self.thai_alloc_value().groupBy("dimension", "name").agg(
-            exact_sum("value_thb").alias("total_value_thb"), exact_sum("weight_pct").alias("total_weight_pct"))
+            exact_sum("value_thb").alias("total_value_thb"), exact_sum("weight_pct").alias("total_weight_pct"),
+            F.max("as_of_date").alias("as_of_date"))
         th = th.withColumn("scope", F.lit("TH"))
         fs = self.m.sector_agg.select(F.lit("sector").alias("dimension"), F.col("sector_name").alias("name"),
                                       F.col("total_true_value_thb").alias("total_value_thb"),
@@ -214,17 +218,19 @@ class StarSchema:
         fc = self.m.country_agg.select(F.lit("country").alias("dimension"), F.col("region_name").alias("name"),
                                        F.col("total_true_value_thb").alias("total_value_thb"),
                                        F.col("total_true_weight_pct").alias("total_weight_pct"))
-        foreign = fs.unionByName(fc).withColumn("scope", F.lit("FOREIGN"))
+        newest = self.m.stock_shared.agg(F.max("nav_as_of_date").cast("date").alias("as_of_date"))
+        foreign = attach_scalars(fs.unionByName(fc), newest).withColumn("scope", F.lit("FOREIGN"))
         # a row for each label; read by the ALL scope, the totals, the cards and the payload
         both = self.m._keep(th.unionByName(foreign))
         al = both.groupBy("dimension", "name").agg(
             exact_sum("total_value_thb").alias("total_value_thb"),
-            exact_sum("total_weight_pct").alias("total_weight_pct")).withColumn("scope", F.lit("ALL"))
+            exact_sum("total_weight_pct").alias("total_weight_pct"),
+            F.max("as_of_date").alias("as_of_date")).withColumn("scope", F.lit("ALL"))
         rows = both.unionByName(al)
         totals = rows.groupBy("scope", "dimension").agg(exact_sum("total_value_thb").alias("_total"))
         return rows.join(totals, ["scope", "dimension"]).select(
             "scope", "dimension", "name", "total_value_thb", "total_weight_pct",
-            share_pct("total_value_thb", "_total").alias("allocation_share_pct"))
+            share_pct("total_value_thb", "_total").alias("allocation_share_pct"), "as_of_date")
 
     def scoped_cards(self) -> DataFrame:
         """One card row per scope (TH, FOREIGN, ALL); returns and mapped
@@ -237,17 +243,18 @@ class StarSchema:
             "scope", F.col("name").alias("top_sector_name"), F.col("allocation_share_pct").alias("top_sector_weight_pct"))
         top_country = top.where(F.col("dimension") == "country").select(
             "scope", F.col("name").alias("top_country_name"), F.col("allocation_share_pct").alias("top_country_weight_pct"))
-        th_rows = self.thai_holdings.select("fund_code", F.col("thb_value").alias("value_thb"))
-        th = th_rows.agg(exact_sum("value_thb").alias("total_value_thb"),
-                         F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn("scope", F.lit("TH"))
-        fx_rows = self.m.stock.select("fund_code", F.col("true_value_thb").alias("value_thb"))
-        fo = fx_rows.agg(exact_sum("value_thb").alias("total_value_thb"),
-                         F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn(
-            "scope", F.lit("FOREIGN"))
-        al = th_rows.unionByName(fx_rows).agg(exact_sum("value_thb").alias("total_value_thb"),
-                                               F.countDistinct("fund_code").cast("long").alias("fund_count")).withColumn(
-            "scope", F.lit("ALL"))
-        cards = th.unionByName(fo).unionByName(al)
+        th = self.thai_holdings.select(
+            F.lit("TH").alias("scope"), "fund_code", F.col("thb_value").alias("value_thb"), "as_of_date")
+        fx = self.m.stock_shared.select(
+            F.lit("FOREIGN").alias("scope"), "fund_code", F.col("true_value_thb").alias("value_thb"),
+            F.col("nav_as_of_date").cast("date").alias("as_of_date"))
+        # one pass over both facts; combined per (scope, fund) before the shuffle
+        found = th.unionByName(fx).withColumn("scope", F.explode(F.array("scope", F.lit("ALL")))).groupBy("scope").agg(
+            exact_sum("value_thb").alias("total_value_thb"),
+            F.countDistinct("fund_code").cast("long").alias("fund_count"), F.max("as_of_date").alias("as_of_date"))
+        # every scope has a row, an empty one if nothing was found
+        scopes = found.sparkSession.range(1).select(F.explode(F.array(*[F.lit(s) for s in config.SCOPES])).alias("scope"))
+        cards = scopes.join(found, "scope", "left").withColumn("fund_count", F.coalesce("fund_count", F.lit(0).cast("long")))
         cards = cards.join(top_sector, "scope", "left").join(top_country, "scope", "left")
         counts = self.m.bridge_ok.agg(
             F.countDistinct("fund_code").cast("long").alias("mapped_fund_count"),
@@ -256,7 +263,7 @@ class StarSchema:
         mapped = ["avg_fund_return_1y", "avg_fund_return_3y", "mapped_fund_count", "mapped_master_count"]
         return cards.select("scope", F.coalesce("total_value_thb", F.lit(0.0)).alias("total_value_thb"),
                             "top_sector_name", "top_sector_weight_pct", "top_country_name", "top_country_weight_pct",
-                            "fund_count", *[F.when(F.col("scope") != "TH", F.col(c)).alias(c) for c in mapped])
+                            "fund_count", "as_of_date", *[F.when(F.col("scope") != "TH", F.col(c)).alias(c) for c in mapped])
 
     def _search_rows(self, keys: list[str]) -> DataFrame:
         s = self.m.stock.groupBy(*keys).agg(
@@ -280,7 +287,8 @@ class StarSchema:
 
     def stock_aggregates(self) -> DataFrame:
         """Local and look-through exposure per symbol; a fund that holds a
-        symbol both ways counts once."""
+        symbol both ways counts once. ``stock_id`` is the smallest id of the
+        stocks with that symbol, as written or normalised."""
         th = self.direct_rows.select(F.col("sym").alias("symbol"), "fund_code", F.lit(True).alias("local"),
                                      F.col("thb_value").alias("v"), F.col("percent").alias("w"))
         gl = self.fx_holdings.select(normalize_ticker("symbol").alias("symbol"), "fund_code", F.lit(False).alias("local"),
@@ -290,8 +298,10 @@ class StarSchema:
             exact_sum(F.when(F.col("local"), F.col("w"))).alias("tw"), exact_sum(F.when(~F.col("local"), F.col("w"))).alias("gw"),
             F.countDistinct("fund_code").cast("long").alias("fund_count"))
         z = F.lit(0.0)
-        return per_symbol.select(
-            "symbol",
+        named = self.dim_stocks.select("id", F.explode(F.array("symbol", normalize_ticker("symbol"))).alias("symbol"))
+        named = named.groupBy("symbol").agg(F.min("id").alias("stock_id"))
+        return per_symbol.join(named, "symbol", "left").select(
+            "symbol", "stock_id",
             F.coalesce("tv", z).alias("thai_value_thb"),
             F.coalesce("gv", z).alias("global_value_thb"),
             (F.coalesce("tv", z) + F.coalesce("gv", z)).alias("total_exposure_thb"),

@@ -43,11 +43,34 @@ MART_SRC = {
     "stg_nav_aum_native": "o_stg_nav", "bridge_thai_master": "o_bridge", "fact_effective_exposure_stock": "o_stock",
     "fact_effective_exposure_sector": "o_sector", "fact_effective_exposure_region": "o_region",
     "agg_top_holdings": "o_top_holdings", "agg_top_holdings_topn": "o_topn", "agg_sector_exposure": "o_sector_agg",
-    "agg_sector_exposure_topn": f"(SELECT * FROM o_sector_agg LIMIT {config.TOP_N})",
+    "agg_sector_exposure_topn": "(SELECT * FROM o_sector_agg ORDER BY total_true_value_thb DESC NULLS LAST, "
+                                f"sector_name NULLS LAST LIMIT {config.TOP_N})",
     "agg_country_exposure": "o_country_agg",
-    "agg_country_exposure_topn": f"(SELECT * FROM o_country_agg LIMIT {config.TOP_N})",
+    "agg_country_exposure_topn": "(SELECT * FROM o_country_agg ORDER BY total_true_value_thb DESC NULLS LAST, "
+                                 f"region_name NULLS LAST LIMIT {config.TOP_N})",
     "agg_region_exposure": "o_region_agg", "agg_fund_coverage": "o_coverage", "agg_dashboard_cards": "o_cards",
 }
+# the column of each mart table whose sum is compared beside its row count
+MART_VALUE = {
+    "stg_nav_aum_native": "aum_native", "bridge_thai_master": "feeder_weight_pct", "agg_fund_coverage": "coverage_ratio",
+    "agg_dashboard_cards": "total_holdings_value_thb",
+    **{t: "true_value_thb" for t in MART_SRC if t.startswith("fact_")},
+    **{t: "total_true_value_thb" for t in MART_SRC if t.startswith("agg_") and ("exposure" in t or "holdings" in t)},
+}
+
+
+def counts_sql(sources: dict[str, str], values: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, {dsum(values[t])} AS value_sum FROM {src}" for t, src in sources.items())
+
+
+def counted(tables: dict[str, DataFrame], values: dict[str, str]) -> DataFrame:
+    """One row per table: its rows and the sum of its value column."""
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("row_count"), exact_sum(values[t]).alias("value_sum"))
+        .select(F.lit(t).alias("table_name"), "row_count", "value_sum") for t, df in tables.items()])
+
+
 MISSING_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name FROM (SELECT count(*) AS c FROM {MART_SRC[t]}) WHERE c = 0" for t in config.REQUIRED_MART_TABLES)
 
@@ -152,12 +175,9 @@ def q_smoke(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-@alias(["build_exposure_tables"], " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {src}" for t, src in MART_SRC.items()))
+@alias(["build_exposure_tables"], counts_sql(MART_SRC, MART_VALUE))
 def q_build(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-             for t, df in mart(spark, sf).tables().items()]
-    return reduce(DataFrame.unionByName, parts)
+    return counted(mart(spark, sf).tables(), MART_VALUE)
 
 
 @alias(["set_missing_tables"], MISSING_SQL)
@@ -200,6 +220,13 @@ ACCEPT_SQL = " UNION ALL ".join([
               "AS DOUBLE) AS metric FROM o_dim_stocks", 0, "stock_type accepted"),
     check_sql("fx_status_values", "SELECT CAST(count_if(NOT coalesce(fx_rate_status IN ('base_currency', 'exact', 'latest', "
               "'default_1_missing_fx'), false)) AS DOUBLE) AS metric FROM o_vw_nav", 0, "fx_rate_status accepted"),
+    *[check_sql(f"{c}_values", f"SELECT CAST(count_if(NOT coalesce({x} IN ({', '.join(repr(v) for v in ok)}), false)) AS DOUBLE) "
+                               f"AS metric FROM {src}", 0, f"{c} accepted")
+      for c, x, ok, src in (
+          ("scope", "scope", config.SCOPES, "o_scoped_exposure"),
+          ("investment_method", "investment_method", config.INVESTMENT_METHODS, "o_fund_holdings"),
+          ("item_type", "item_type", config.ITEM_TYPES, "o_suggestions"),
+          ("alloc_type", "regexp_replace(lower(type), '_alloc$', '')", config.ALLOC_TYPES, "funds_allocations"))],
 ])
 
 
@@ -215,6 +242,14 @@ def q_accepted(spark: SparkSession, sf: str) -> DataFrame:
             config.FX_STATUS_BASE, config.FX_STATUS_EXACT, config.FX_STATUS_LATEST, config.FX_STATUS_MISSING)),
             "fx_status_values", 0, "fx_rate_status accepted"),
     ]
+    alloc = m.src["funds_allocations"].select(F.regexp_replace(F.lower("type"), "_alloc$", "").alias("alloc_type"))
+    for df, col, accepted in (
+        (m.star.scoped_exposure(), "scope", config.SCOPES),
+        (m.star.fund_holdings(), "investment_method", config.INVESTMENT_METHODS),
+        (m.star.suggestions(), "item_type", config.ITEM_TYPES),
+        (alloc, "alloc_type", config.ALLOC_TYPES),
+    ):
+        rows.append(dq.check_row(dq.not_accepted(df, col, accepted), f"{col}_values", 0, f"{col} accepted"))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -13,6 +13,7 @@ from ..plans import serving as sv
 from ..plans.exposure import alloc_order
 from .common import mart
 from .core import alias
+from .quality import MART_SRC, MART_VALUE, counted, counts_sql
 
 SEARCH_ORDER = ("total_true_value_thb DESC NULLS LAST, fund_code NULLS LAST, holding_name NULLS LAST, "
                 "holding_ticker NULLS LAST, holding_type NULLS LAST")
@@ -205,14 +206,11 @@ def q_sort_multi(spark: SparkSession, sf: str) -> DataFrame:
     return global_row_number(cov, order, "position")
 
 
-@alias(["mart_write_replace"], " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {src}"
-    for t, src in __import__("fundlens.registry.quality", fromlist=["MART_SRC"]).MART_SRC.items()))
+@alias(["mart_write_replace"], counts_sql(MART_SRC, MART_VALUE))
 def q_write(spark: SparkSession, sf: str) -> DataFrame:
     """Write all 14 mart tables (overwrite) under the shared checkpoint
-    folder, then count what was written."""
+    folder, then count and add up what was written."""
     import hashlib
-    from functools import reduce
 
     from ..session import ensure_checkpoint_dir
     from ..sources.sinks import write_tables
@@ -220,6 +218,4 @@ def q_write(spark: SparkSession, sf: str) -> DataFrame:
     m = mart(spark, sf)
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/fundlens-mart/" + hashlib.sha1(sf.encode()).hexdigest()[:12]
     paths = write_tables(m.tables(), root)
-    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-             for t, p in paths.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return counted({t: spark.read.parquet(p) for t, p in paths.items()}, MART_VALUE)

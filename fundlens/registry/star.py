@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from ..functions.strings import extract_symbol
 from ..oracle import star  # noqa: F401
 from ..oracle.ctes import CTE
 from .common import mart
 from .core import alias
+from .quality import counted, counts_sql
 
 STAR_TABLES = {
     "stocks": "o_dim_stocks",
@@ -20,8 +17,13 @@ STAR_TABLES = {
     "fund_direct_holdings": "o_fact_direct",
     "fund_master_holdings": "o_fact_master",
     "master_fund_holdings": "o_master_fund_holdings",
-    "fund_sector_breakdown": "(SELECT fund_id FROM o_alloc_rows WHERE alloc_type = 'sector_alloc')",
-    "fund_country_breakdown": "(SELECT fund_id FROM o_alloc_rows WHERE alloc_type = 'country_alloc')",
+    "fund_sector_breakdown": "(SELECT percentage FROM o_alloc_rows WHERE alloc_type = 'sector_alloc')",
+    "fund_country_breakdown": "(SELECT percentage FROM o_alloc_rows WHERE alloc_type = 'country_alloc')",
+}
+STAR_VALUE = {
+    "stocks": "id", "funds": "return_1y", "master_funds": "id", "fund_direct_holdings": "holding_value_thb",
+    "fund_master_holdings": "holding_value_thb", "master_fund_holdings": "percent_weight",
+    "fund_sector_breakdown": "percentage", "fund_country_breakdown": "percentage",
 }
 
 
@@ -29,12 +31,9 @@ def _star(spark: SparkSession, sf: str):
     return mart(spark, sf).star
 
 
-@alias(["api_star_schema"], " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {src}" for t, src in STAR_TABLES.items()))
+@alias(["api_star_schema"], counts_sql(STAR_TABLES, STAR_VALUE))
 def q_star(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-             for t, df in _star(spark, sf).tables().items()]
-    return reduce(DataFrame.unionByName, parts)
+    return counted(_star(spark, sf).tables(), STAR_VALUE)
 
 
 @alias(["dim_funds", "join_fund_return", "surrogate_keys"], "SELECT * FROM o_dim_funds")

@@ -14,17 +14,36 @@ def scan_projected(spark: SparkSession, path: str, columns: Sequence[str], fmt:
     return spark.read.format(fmt).load(path).select(*columns)
 
 
-def scan_jdbc(spark: SparkSession, url: str, query: str, properties: Mapping[str, str] | None = None) -> DataFrame:
-    """S1 over JDBC: the database runs ``query``; Spark reads the result."""
-    reader = spark.read.format("jdbc").option("url", url).option("query", query)
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    return reader.load()
+def jdbc_options(
+    url: str,
+    query: str,
+    properties: Mapping[str, str] | None = None,
+    split: tuple[str, object, object, int] | None = None,
+) -> dict[str, str]:
+    """Reader options of ``scan_jdbc``."""
+    opts = {"url": url, **(properties or {})}
+    if split is None:
+        return opts | {"query": query}
+    column, low, high, partitions = split
+    # a partitioned read takes a table expression, not ``query``
+    return opts | {
+        "dbtable": f"({query}) fundlens_scan", "partitionColumn": column, "lowerBound": str(low),
+        "upperBound": str(high), "numPartitions": str(partitions),
+    }
 
 
-def table_columns(df: DataFrame) -> set[str]:
-    """Lower-cased column names (schema probe)."""
-    return {c.lower() for c in df.columns}
+def scan_jdbc(
+    spark: SparkSession,
+    url: str,
+    query: str,
+    properties: Mapping[str, str] | None = None,
+    split: tuple[str, object, object, int] | None = None,
+) -> DataFrame:
+    """S1 over JDBC: the database runs ``query``; Spark reads the result.
+    ``split`` = (numeric or date column, lower bound, upper bound, partitions)
+    reads it over several connections; the bounds only place the cuts, rows
+    outside them are read too. Without it one task reads the whole result."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, query, properties, split)).load()
 
 
 def resolve_columns(

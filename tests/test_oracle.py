@@ -13,7 +13,8 @@ from fundlens.sources.testdata import RAW_TABLES
 KEYS = [
     "bridge_thai_master", "nav_with_fx", "vw_nav_aum_thb", "fact_exposure_stock", "fact_exposure_region",
     "agg_top_holdings", "agg_dashboard_cards", "agg_fund_coverage", "dq_report", "api_star_schema", "fx_upsert",
-    "dashboard_payload", "agg_scoped_cards", "topk_with_others", "scan_optional_empty", "agg_search_asset_to_funds",
+    "dashboard_payload", "agg_scoped_cards", "agg_scoped_exposure", "stock_aggregates", "dq_accepted_values",
+    "build_exposure_tables", "topk_with_others", "scan_optional_empty", "agg_search_asset_to_funds",
 ]
 
 
