@@ -68,9 +68,9 @@ def cmd_api_snapshot(spark: SparkSession, args) -> int:
 
 
 def cmd_payload(spark: SparkSession, args) -> int:
-    from .plans.serving import payload_items, write_payload
+    from .plans.serving import payload_sections, write_payload
 
-    write_payload(payload_items(_mart(spark, args)), args.out)
+    write_payload(payload_sections(_mart(spark, args)), args.out)
     return 0
 
 

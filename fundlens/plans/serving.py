@@ -9,6 +9,8 @@ that a writer emits as JSON lines in parallel.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,74 +153,88 @@ def serving_views(m) -> dict[str, DataFrame]:
     }
 
 
-def payload_items(m) -> DataFrame:
-    """The dashboard payload as a long table, one row per list
-    item: (section, position, name, value_thb, weight_pct). Lists are ordered
-    by ``position``; a JSON-lines writer emits it in parallel."""
+def summary_rows(m) -> DataFrame:
+    """One summary row per scope: ``ALL`` from the dashboard cards, TH and
+    FOREIGN from the scoped cards. A scope without a card gets an empty row."""
+    both = ["top_sector_name", "top_sector_weight_pct", "top_country_name", "top_country_weight_pct",
+            "avg_fund_return_1y", "avg_fund_return_3y", "mapped_fund_count", "mapped_master_count"]
+    main = m.cards.limit(1).select(
+        F.lit("ALL").alias("scope"), F.col("total_holdings_value_thb").alias("total_value_thb"), *both,
+        F.lit(None).cast("long").alias("fund_count"), F.lit(None).cast("date").alias("as_of_date"))
+    found = main.unionByName(m.star.scoped_cards().where("scope <> 'ALL'"))
+    scopes = m.cards.sparkSession.range(1).select(F.explode(F.array(*[F.lit(s) for s in config.SCOPES])).alias("scope"))
+    return m._keep(scopes.join(found, "scope", "left"))  # three rows, read by three sections
+
+
+def payload_sections(m) -> dict[str, DataFrame]:
+    """The 13 payload sections, each with its own columns. Lists are
+    ordered by ``position`` or ``rank_no``; search lists are bounded."""
     from ..operators.distribution import global_row_number
+    from .exposure import agg_top_holdings_topn, alloc_order
 
-    cards = m.cards.limit(1).select(
-        F.lit("dashboard_summary").alias("section"), F.lit(1).cast("long").alias("position"),
-        F.col("top_sector_name").alias("name"), F.col("total_holdings_value_thb").alias("value_thb"),
-        F.col("top_sector_weight_pct").alias("weight_pct"))
-    from ..plans.exposure import agg_top_holdings_topn
-
-    top = agg_top_holdings_topn(m.stock_shared, m.n).select(
-        F.lit("top_global_traceability_top10").alias("section"), F.col("rank_no").alias("position"),
-        F.col("holding_name").alias("name"), F.col("total_true_value_thb").alias("value_thb"),
-        F.col("total_true_weight_pct").alias("weight_pct"))
-
-    def alloc(df: DataFrame, label: str, section: str) -> DataFrame:
-        ranked = global_row_number(df, [F.col("total_true_value_thb").desc_nulls_last(), F.col(label).asc_nulls_last()],
-                                   "position")
-        return ranked.select(F.lit(section).alias("section"), "position", F.col(label).alias("name"),
-                             F.col("total_true_value_thb").alias("value_thb"),
-                             F.col("total_true_weight_pct").alias("weight_pct"))
-
-    def search(name: str, section: str) -> DataFrame:
-        found = search_top(search_by_fund(m.stock_shared))
+    def alloc(df: DataFrame, label: str) -> DataFrame:
+        return global_row_number(df, alloc_order(label), "position")
+
+    def search(rows: DataFrame) -> DataFrame:
         # at most SEARCH_PAYLOAD_LIMIT rows: a bounded window
-        found = found.withColumn("position", F.row_number().over(Window.orderBy(*search_order())).cast("long"))
-        return found.select(F.lit(section).alias("section"), "position", F.col(name).alias("name"),
-                            F.col("total_true_value_thb").alias("value_thb"),
-                            F.col("total_true_weight_pct").alias("weight_pct"))
-
-    scoped = m.star.scoped_cards()
-
-    def summary(scope: str, section: str) -> DataFrame:
-        return scoped.where(F.col("scope") == scope).select(
-            F.lit(section).alias("section"), F.lit(1).cast("long").alias("position"),
-            F.col("top_sector_name").alias("name"), F.col("total_value_thb").alias("value_thb"),
-            F.col("top_sector_weight_pct").alias("weight_pct"))
-
-    thai = m.star.top_thai_holdings().select(
-        F.col("rank_no").alias("position"), F.col("symbol").alias("name"),
-        F.col("total_thai_fund_value").alias("value_thb"), F.col("total_weight_pct").alias("weight_pct"))
-    everything = m.star.top_global_traceability().select(
-        F.lit("top_global_traceability_all").alias("section"), F.col("rank_no").alias("position"),
-        F.col("holding_name").alias("name"), F.col("global_fund_value").alias("value_thb"),
-        F.col("total_weight_pct").alias("weight_pct"))
-    local = m.star.scoped_exposure().where("scope = 'TH'").select(
-        "dimension", "name", F.col("total_value_thb").alias("total_true_value_thb"),
-        F.col("total_weight_pct").alias("total_true_weight_pct"))
-    parts = [cards, summary("TH", "dashboard_summary_thai"), summary("FOREIGN", "dashboard_summary_global"),
-             thai.where(F.col("position") <= m.n).withColumn("section", F.lit("top_thai_holdings_top10")),
-             thai.withColumn("section", F.lit("top_thai_holdings_all")),
-             top, everything,
-             alloc(local.where("dimension = 'sector'"), "name", "sector_allocation_thai"),
-             alloc(m.sector_agg, "sector_name", "sector_allocation_global"),
-             alloc(local.where("dimension = 'country'"), "name", "country_allocation_thai"),
-             alloc(m.country_agg, "region_name", "country_allocation_global"),
-             search("fund_code", "search_by_fund"), search("holding_name", "search_by_asset")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def write_payload(items: DataFrame, path: str) -> None:
-    """S9 sink: JSON lines, one file set per section (parallel writers)."""
-    norm_rows(items).write.mode("overwrite").partitionBy("section").json(path)
+        return search_top(rows).withColumn("position", F.row_number().over(Window.orderBy(*search_order())).cast("long"))
+
+    def thai(kind: str) -> DataFrame:
+        rows = m.star.scoped_exposure().where((F.col("scope") == "TH") & (F.col("dimension") == kind))
+        return alloc(rows.select(
+            F.col("name").alias(f"{kind}_name"), F.col("total_weight_pct").alias("total_true_weight_pct"),
+            F.col("total_value_thb").alias("total_true_value_thb"), "allocation_share_pct", "as_of_date"), f"{kind}_name")
+
+    summary = summary_rows(m)
+    top_thai = m.star.top_thai_holdings()
+    return {
+        "dashboard_summary": summary.where("scope = 'ALL'").drop("fund_count", "as_of_date"),
+        "dashboard_summary_thai": summary.where("scope = 'TH'"),
+        "dashboard_summary_global": summary.where("scope = 'FOREIGN'"),
+        "top_thai_holdings_top10": top_thai.where(F.col("rank_no") <= m.n),
+        "top_thai_holdings_all": top_thai,
+        "top_global_traceability_top10": agg_top_holdings_topn(m.stock_shared, m.n),
+        "top_global_traceability_all": m.star.top_global_traceability(),
+        "sector_allocation_thai": thai("sector"),
+        "sector_allocation_global": alloc(m.sector_agg, "sector_name"),
+        "country_allocation_thai": thai("country"),
+        "country_allocation_global": alloc(m.country_agg.withColumnRenamed("region_name", "country_name"), "country_name"),
+        "search_by_fund": search(search_by_fund(m.stock_shared)),
+        "search_by_asset": search(search_by_asset(m.stock_shared)),
+    }
+
+
+# section -> columns that hold position, name, value and weight
+_ITEM_COLS = {
+    **{s: ("1", "top_sector_name", "total_value_thb", "top_sector_weight_pct")
+       for s in ("dashboard_summary", "dashboard_summary_thai", "dashboard_summary_global")},
+    **{s: ("rank_no", "symbol", "total_thai_fund_value", "total_weight_pct")
+       for s in ("top_thai_holdings_top10", "top_thai_holdings_all")},
+    "top_global_traceability_top10": ("rank_no", "holding_name", "total_true_value_thb", "total_true_weight_pct"),
+    "top_global_traceability_all": ("rank_no", "holding_name", "global_fund_value", "total_weight_pct"),
+    **{f"{kind}_allocation_{scope}": ("position", f"{kind}_name", "total_true_value_thb", "total_true_weight_pct")
+       for kind in ("sector", "country") for scope in ("thai", "global")},
+    "search_by_fund": ("position", "fund_code", "total_true_value_thb", "total_true_weight_pct"),
+    "search_by_asset": ("position", "holding_name", "total_true_value_thb", "total_true_weight_pct"),
+}
+
+
+def payload_items(m) -> DataFrame:
+    """The payload as a long table, one row per list item: (section,
+    position, name, value_thb, weight_pct)."""
+    parts = []
+    for section, df in payload_sections(m).items():
+        position, name, value, weight = _ITEM_COLS[section]
+        parts.append(df.select(
+            F.lit(section).alias("section"), F.expr(position).cast("long").alias("position"), F.col(name).alias("name"),
+            F.col(value).alias("value_thb"), F.col(weight).alias("weight_pct")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_payload(sections: dict[str, DataFrame], path: str) -> None:
+    """S9 sink: JSON lines, a folder for each section (parallel writers)."""
+    for name, df in sections.items():
+        norm_rows(df).write.mode("overwrite").json(f"{path.rstrip('/')}/{name}")
 
 
 def round_summary(cards: DataFrame) -> DataFrame:

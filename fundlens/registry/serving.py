@@ -140,9 +140,16 @@ def q_views(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @alias(["limit1_summary"], """
-SELECT * FROM o_cards LIMIT 1""")
+SELECT 'ALL' AS scope, total_holdings_value_thb AS total_value_thb, top_sector_name, top_sector_weight_pct, top_country_name,
+       top_country_weight_pct, avg_fund_return_1y, avg_fund_return_3y, mapped_fund_count, mapped_master_count,
+       NULL::BIGINT AS fund_count, NULL::DATE AS as_of_date FROM (SELECT * FROM o_cards LIMIT 1)
+UNION ALL
+SELECT scope, total_value_thb, top_sector_name, top_sector_weight_pct, top_country_name, top_country_weight_pct,
+       avg_fund_return_1y, avg_fund_return_3y, mapped_fund_count, mapped_master_count, fund_count, as_of_date
+FROM o_scoped_cards WHERE scope <> 'ALL'""")
 def q_limit1(spark: SparkSession, sf: str) -> DataFrame:
-    return mart(spark, sf).cards.limit(1)
+    """One summary row for each of the three scopes."""
+    return sv.summary_rows(mart(spark, sf))
 
 
 define("o_payload_items", f"""

@@ -13,7 +13,7 @@ from fundlens.sources.testdata import RAW_TABLES
 KEYS = [
     "bridge_thai_master", "nav_with_fx", "vw_nav_aum_thb", "fact_exposure_stock", "fact_exposure_region",
     "agg_top_holdings", "agg_dashboard_cards", "agg_fund_coverage", "dq_report", "api_star_schema", "fx_upsert",
-    "dashboard_payload", "agg_scoped_cards", "agg_scoped_exposure", "stock_aggregates", "dq_accepted_values",
+    "dashboard_payload", "agg_scoped_cards", "agg_scoped_exposure", "limit1_summary", "stock_aggregates", "dq_accepted_values",
     "build_exposure_tables", "topk_with_others", "scan_optional_empty", "agg_search_asset_to_funds",
 ]
 
@@ -58,3 +58,39 @@ def test_every_key_has_a_callable_and_oracle():
     q, o = entry.queries(), entry.oracle_sql()
     assert len(q) >= 160
     assert set(o) <= set(q)
+
+
+def test_payload_sections_have_their_own_columns(spark, tmp_path):
+    import json
+
+    from fundlens.plans.serving import payload_sections, write_payload
+    from fundlens.registry.common import mart
+
+    sections = payload_sections(mart(spark, SF_SMALL))
+    assert len(sections) == 13
+    small = {k: sections[k] for k in ("dashboard_summary_thai", "sector_allocation_thai", "search_by_asset")}
+    write_payload(small, str(tmp_path))
+    rows = {k: [json.loads(x) for f in (tmp_path / k).glob("*.json") for x in f.read_text().splitlines()] for k in small}
+    assert len(rows["dashboard_summary_thai"]) == 1 and rows["dashboard_summary_thai"][0]["scope"] == "TH"
+    assert {"sector_name", "allocation_share_pct", "as_of_date"} <= set(rows["sector_allocation_thai"][0])
+    found = sorted(r["position"] for r in rows["search_by_asset"])
+    assert found == list(range(1, len(found) + 1)) and 0 < len(found) <= 500
+
+
+def test_partitioned_jdbc_options():
+    from fundlens.sources.readers import jdbc_options
+
+    plain = jdbc_options("jdbc:x", "SELECT 1 AS a")
+    assert plain == {"url": "jdbc:x", "query": "SELECT 1 AS a"}
+    cut = jdbc_options("jdbc:x", "SELECT a FROM t", {"user": "u"}, ("a", 0, 100, 8))
+    assert cut["numPartitions"] == "8" and cut["partitionColumn"] == "a" and cut["lowerBound"] == "0"
+    assert "query" not in cut and cut["dbtable"].startswith("(SELECT a FROM t)") and cut["user"] == "u"
+
+
+def test_wrong_values_fail_the_enum_check(spark):
+    from fundlens import config
+    from fundlens.operators.quality import check_row, not_accepted
+
+    rows = spark.createDataFrame([("STOCK",), ("fund",), (None,)], "item_type string")
+    bad = check_row(not_accepted(rows, "item_type", config.ITEM_TYPES), "item_type_values", 0, "n").first()
+    assert (bad["status"], bad["metric"]) == ("FAIL", 2.0)
