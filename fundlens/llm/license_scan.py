@@ -8,6 +8,16 @@ cue word has no feature: it is unknown by its bias alone and is skipped without
 a loss. A prediction is confirmed when enough of the word pairs of a notice of
 the predicted family occur in the paragraph.
 
+A notice may be wrapped over lines. So runs of neighbouring lines with words
+are scored joined as well, up to ``REACH`` words between the first and the last
+line and ``REACH`` words of each of these two. A run is a match if it is
+confirmed by a notice to which both its first and its last line add word pairs.
+Of confirmed matches (lines and runs) that share a line, the largest overlap is
+kept, then the fewest lines, the probability and the place; it counts as one
+paragraph. Lines of a confirmed run, and lines that go on with its last sentence
+(as far as ``REACH`` words from the first line), count only if confirmed by
+themselves and not part of a better match.
+
 Training happens once, on the driver, on a bounded sample: the notices, seeded
 variants of them (words dropped or surrounded by other words), fixed unrelated
 sentences that use cue words, and at most ``negatives`` paragraphs of the corpus
@@ -15,13 +25,14 @@ that hold a cue word but hardly any notice text. Temperature scaling on held-out
 variants calibrates the probabilities; a best family below ``min_probability``
 is reported as unknown.
 
-Main path: split, explode, a broadcast join with the weights (one row per
+Main path: split, explode (lines, and runs that hold notice word pairs), a broadcast join with the weights (one row per
 feature, a few hundred), and aggregates; no Python on the executors.
 
 Output: one row per document: doc_id, license (family with the best
 paragraph, ``unknown`` if a cue paragraph fits no family, ``none`` without cue
 words), probability, confirmed, n_paragraphs (that name a family), families
-(sorted). ``paragraphs`` returns the matched paragraphs themselves.
+(sorted). ``paragraphs`` returns the scored lines themselves, ``joined`` the
+confirmed runs.
 
 Defined cases. Null and empty texts: ``none``, probability 0. Ties between
 paragraphs: the earliest one; between families: first in FAMILIES. Null or
@@ -31,6 +42,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -102,12 +114,16 @@ STOP = set(
     "she the them they this to up was were where which with without you your he all that following under but".split()
 )
 WORD_SQL = r"[\p{L}\p{N}]+"
+END_SQL = r"""[.!?:][\s*/#"')\]-]*$"""  # a line that ends a sentence
 
 
 def words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
+REACH = 2 * max(len(words(n)) for ns in NOTICES.values() for n in ns)  # the longest notice, with as many other words
+
+
 def cue_words() -> list[str]:
     return sorted({w for ns in NOTICES.values() for n in ns for w in words(n) if w not in STOP and not w.isdigit() and len(w) > 1})
 
@@ -238,24 +254,42 @@ def _pairs(w: Column) -> Column:
 def paragraphs(docs: DataFrame, model: LicenseModel, min_probability: float = 0.5, min_overlap: float = 0.6) -> DataFrame:
     """(ROW, paragraph, family, probability, overlap, confirmed) of every
     paragraph with a cue word. ``docs`` is numbered by ROW."""
-    spark = docs.sparkSession
+    templates = docs.sparkSession.createDataFrame(_templates(), "family string, pairs array<string>")
+    found = cue_paragraphs(docs).select(ROW, "paragraph", _word_array(F.col("body")).alias("words"))
+    found = found.withColumn("pairs", F.array_distinct(_pairs(F.col("words"))))
+    scored = _scored(found, [ROW, "paragraph"], [], model, min_probability)
+    # template comparison: best share of a notice's word pairs found in the paragraph
+    named = scored.where("family <> 'unknown'").join(found.select(ROW, "paragraph", "pairs"), [ROW, "paragraph"])
+    overlap = (
+        named.join(F.broadcast(templates.withColumnRenamed("pairs", "notice")), "family")
+        .groupBy(ROW, "paragraph")
+        .agg(F.max(F.size(F.array_intersect("pairs", "notice")) / F.size("notice")).alias("overlap"))
+    )
+    return (
+        scored.join(overlap, [ROW, "paragraph"], "left")
+        .withColumn("overlap", F.coalesce("overlap", F.lit(0.0)))
+        .withColumn("confirmed", F.col("overlap") >= min_overlap)
+    )
+
+
+def _templates() -> list[tuple[str, list[str]]]:
+    """(family, word pairs) of each notice."""
+    return [(family, sorted({" ".join(p) for p in zip(words(n), words(n)[1:])})) for family in FAMILIES for n in NOTICES[family]]
+
+
+def _scored(found: DataFrame, keys: list[str], carried: list[str], model: LicenseModel, min_probability: float) -> DataFrame:
+    """(keys, carried, family, probability) of rows with words and pairs."""
     k = len(FAMILIES) + 1
     # one row for each feature of the model
-    weights = spark.createDataFrame(
+    weights = found.sparkSession.createDataFrame(
         [(f, [float(v) for v in row]) for f, row in zip(model.names, model.weights)], "feature string, w array<double>"
     )
-    # one row for each notice
-    notices = [
-        (family, sorted({" ".join(p) for p in zip(words(n), words(n)[1:])})) for family in FAMILIES for n in NOTICES[family]
-    ]
-    templates = spark.createDataFrame(notices, "family string, pairs array<string>")
-    found = cue_paragraphs(docs).select(ROW, "paragraph", _word_array(F.col("body")).alias("words"))
-    found = found.withColumn("pairs", F.array_distinct(_pairs(F.col("words"))))
     grams = found.select(
-        ROW, "paragraph", F.explode(F.concat(F.array_distinct("words"), "pairs")).alias("feature")
+        *keys, *carried, F.explode(F.concat(F.array_distinct("words"), "pairs")).alias("feature")
     ).join(F.broadcast(weights), "feature")
-    logits = grams.groupBy(ROW, "paragraph").agg(
-        *[(F.sum(F.col("w")[i]) + F.lit(float(model.bias[i]))).alias(f"z{i}") for i in range(k)]
+    logits = grams.groupBy(*keys).agg(
+        *[(F.sum(F.col("w")[i]) + F.lit(float(model.bias[i]))).alias(f"z{i}") for i in range(k)],
+        *[F.first(c).alias(c) for c in carried],  # the same in every row of a key
     )
     top = F.greatest(*[F.col(f"z{i}") for i in range(k)])
     odds = [F.exp((F.col(f"z{i}") - F.col("top")) / F.lit(model.temperature)) for i in range(k)]
@@ -265,20 +299,98 @@ def paragraphs(docs: DataFrame, model: LicenseModel, min_probability: float = 0.
     best = F.when(F.col(f"z{k - 1}") >= F.col("top"), F.lit("unknown"))
     for i, family in enumerate(FAMILIES):
         best = best.when(F.col(f"z{i}") >= F.col("top"), F.lit(family))
-    scored = logits.withColumn("top", top).select(ROW, "paragraph", best.alias("family"), (F.lit(1.0) / total).alias("probability"))
-    scored = scored.withColumn("family", F.when(F.col("probability") >= min_probability, F.col("family")).otherwise("unknown"))
-    # template comparison: best share of a notice's word pairs found in the paragraph
-    named = scored.where("family <> 'unknown'").join(found.select(ROW, "paragraph", "pairs"), [ROW, "paragraph"])
-    overlap = (
-        named.join(F.broadcast(templates.withColumnRenamed("pairs", "notice")), "family")
-        .groupBy(ROW, "paragraph")
-        .agg(F.max(F.size(F.array_intersect("pairs", "notice")) / F.size("notice")).alias("overlap"))
+    scored = logits.withColumn("top", top).select(*keys, *carried, best.alias("family"), (F.lit(1.0) / total).alias("probability"))
+    return scored.withColumn("family", F.when(F.col("probability") >= min_probability, F.col("family")).otherwise("unknown"))
+
+
+def _runs(docs: DataFrame) -> DataFrame:
+    """(ROW, first line number, lines that runs from there can take) for every
+    line with words; a line is a struct of its words, whether it has a cue and
+    whether it ends a sentence."""
+    cue = _cue_pattern()
+    lines = (
+        docs.select(ROW, F.lower("text").alias("low"))
+        .where(F.col("low").contains("\n") & F.col("low").rlike(cue))
+        .select(ROW, F.transform(F.split("low", "\n"), lambda s: F.struct(_word_array(s).alias("w"), s.rlike(cue).alias("cue"), s.rlike(END_SQL).alias("end"))).alias("lines"))
+    )
+
+    def step(acc: Column, x: Column) -> Column:
+        n = acc["n"] + F.size(x["w"])
+        more = F.struct((acc["k"] + 1).alias("k"), n.alias("n"), (n < REACH).alias("open"))
+        return F.when(acc["open"] & (F.size(x["w"]) > 0), more).otherwise(F.struct(acc["k"].alias("k"), acc["n"].alias("n"), F.lit(False).alias("open")))
+
+    def near(i: Column) -> Column:
+        none = F.struct(F.lit(0).alias("k"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+        return F.slice("lines", i + 1, F.aggregate(F.slice("lines", i + 2, F.lit(REACH + 1)), none, step)["k"] + 1)
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.size(F.get("lines", i)["w"]) > 0)
+    found = F.filter(
+        F.transform(starts, lambda i: F.struct(i.alias("paragraph"), near(i).alias("near"))),
+        lambda r: (F.size(r["near"]) > 1) & F.exists(r["near"], lambda x: x["cue"]),
     )
+    return lines.select(ROW, F.explode(found).alias("r")).select(ROW, "r.paragraph", "r.near")
+
+
+def joined(docs: DataFrame, model: LicenseModel, min_probability: float = 0.5, min_overlap: float = 0.6) -> DataFrame:
+    """(ROW, paragraph, last, until, family, probability, overlap, confirmed) of
+    the confirmed runs of two or more lines: numbers of the first and last line
+    and of the line where the last sentence ends."""
+    notices = _templates()
+    least = min(math.ceil(min_overlap * len(pairs)) for _, pairs in notices)
+    known = F.array(*[F.lit(p) for p in sorted({p for _, pairs in notices for p in pairs})])
+    runs = _runs(docs).select(ROW, "paragraph", "near", F.explode(F.sequence(F.lit(2), F.size("near"))).alias("n"))
+    runs = runs.where(F.exists(F.slice("near", 1, F.col("n")), lambda x: x["cue"]))
+    w = F.col("near")[0]["w"]
+    first = F.slice(w, F.greatest(F.size(w) - REACH + 1, F.lit(1)), F.lit(REACH))
+    middle = F.flatten(F.transform(F.slice("near", 2, F.col("n") - 2), lambda x: x["w"]))
+    last = F.slice(F.get("near", F.col("n") - 1)["w"], 1, REACH)
+    rest = F.slice("near", F.col("n"), F.size("near") - F.col("n") + 1)
+    end = F.array_position(F.transform(rest, lambda x: x["end"]), F.lit(True)).cast("int")
+    end = F.col("paragraph") + F.col("n") - 1 + F.when(end > 0, end - 1).otherwise(F.size("near") - F.col("n"))
+    runs = runs.select(
+        ROW, "paragraph", (F.col("paragraph") + F.col("n") - 1).alias("last"), end.alias("until"), F.concat(first, middle, last).alias("words"),
+        F.concat(first, middle).alias("head"), F.concat(middle, last).alias("tail"),
+    )
+    pairs = lambda c: F.array_distinct(_pairs(F.col(c)))
+    runs = runs.where(F.size(F.array_intersect(pairs("words"), known)) >= least)
+    runs = runs.select(ROW, "paragraph", "last", "until", "words", pairs("words").alias("pairs"), pairs("head").alias("head"), pairs("tail").alias("tail"))
+    templates = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*[F.lit(p) for p in ps]).alias("notice")) for f, ps in notices])
+
+    def overlap(t: Column) -> Column:
+        shared = lambda c: F.size(F.array_intersect(F.col(c), t["notice"]))
+        gains = (shared("pairs") > shared("head")) & (shared("pairs") > shared("tail"))
+        return F.struct(t["family"].alias("family"), F.when(gains, shared("pairs") / F.size(t["notice"])).otherwise(0.0).alias("overlap"))
+
+    # generated rows, so the overlaps are computed once
+    runs = runs.select(ROW, "paragraph", "last", "until", "words", "pairs", F.explode(F.array(F.transform(templates, overlap))).alias("overlaps"))
+    runs = runs.where(F.exists("overlaps", lambda o: o["overlap"] >= min_overlap))
+    scored = _scored(runs, [ROW, "paragraph", "last"], ["until", "overlaps"], model, min_probability)
+    own = F.transform(F.filter("overlaps", lambda o: o["family"] == F.col("family")), lambda o: o["overlap"])
     return (
-        scored.join(overlap, [ROW, "paragraph"], "left")
-        .withColumn("overlap", F.coalesce("overlap", F.lit(0.0)))
-        .withColumn("confirmed", F.col("overlap") >= min_overlap)
+        scored.withColumn("overlap", F.coalesce(F.array_max(own), F.lit(0.0))).drop("overlaps")
+        .where(F.col("overlap") >= min_overlap).withColumn("confirmed", F.lit(True))
+    )
+
+
+def _per_document(hits: DataFrame) -> DataFrame:
+    """(ROW, hits): the scored lines and confirmed runs of a document. If it has
+    runs, confirmed matches that share a line with a better one are left out,
+    and so are other lines within a run and its last sentence."""
+    hit = F.struct(
+        (-F.col("overlap")).alias("less"), (F.col("last") - F.col("paragraph")).alias("more"), (-F.round("probability", 6)).alias("unlikely"),
+        "paragraph", "last", "until", "family", F.round("probability", 6).alias("probability"), "confirmed",
+    )
+    # at most one hit for each line with a cue word, and the runs
+    docs = hits.groupBy(ROW).agg(F.sort_array(F.collect_list(hit)).alias("hits"), F.max(F.col("last") > F.col("paragraph")).alias("wrapped"))
+    meets = lambda a, b: (a["paragraph"] <= b["last"]) & (b["paragraph"] <= a["last"])
+    docs = docs.withColumn("best", F.filter("hits", lambda h: h["confirmed"]))
+    taken = F.aggregate(
+        "best", F.filter("best", lambda h: F.lit(False)),
+        lambda acc, h: F.when(F.exists(acc, lambda t: meets(t, h)), acc).otherwise(F.concat(acc, F.array(h))),
     )
+    within = lambda h, t: (t["paragraph"] <= h["paragraph"]) & (h["paragraph"] <= t["until"])
+    left = F.filter("hits", lambda h: ~h["confirmed"] & ~F.exists("best", lambda t: within(h, t)))
+    return docs.select(ROW, F.when(F.col("wrapped"), F.concat(taken, left)).otherwise(F.col("hits")).alias("hits"))
 
 
 def negatives_of(docs: DataFrame, limit: int) -> list[str]:
@@ -297,16 +409,19 @@ def scan(docs: DataFrame, negatives: int = 300, min_probability: float = 0.5, mi
     confirmed, n_paragraphs, families."""
     base = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     model = train(negatives_of(base, negatives))
-    hits = paragraphs(base, model, min_probability, min_overlap)
-    named = F.col("family") != "unknown"
+    lines = paragraphs(base, model, min_probability, min_overlap)
+    lines = lines.withColumns({"last": F.col("paragraph"), "until": F.col("paragraph")})
+    hits = _per_document(lines.unionByName(joined(base, model, min_probability, min_overlap)))
+    named = lambda h: h["family"] != "unknown"
     # a named family before unknown, confirmed before not, then probability, then place
-    order = F.struct(named, F.col("confirmed"), F.round("probability", 6), -F.col("paragraph"))
-    per_doc = hits.groupBy(ROW).agg(
-        F.max_by("family", order).alias("license"),
-        F.max_by(F.round("probability", 6), order).alias("probability"),
-        F.max_by(F.col("confirmed"), order).alias("confirmed"),
-        F.sum(named.cast("long")).alias("n_paragraphs"),
-        F.sort_array(F.collect_set(F.when(named, F.col("family")))).alias("families"),
+    order = F.transform("hits", lambda h: F.struct(
+        named(h).alias("named"), h["confirmed"].alias("confirmed"), h["probability"].alias("probability"), (-h["paragraph"]).alias("place"),
+        h["family"].alias("family"),
+    ))
+    families = F.transform(F.filter("hits", named), lambda h: h["family"])
+    per_doc = hits.select(ROW, F.array_max(order).alias("top"), families.alias("named")).select(
+        ROW, F.col("top.family").alias("license"), "top.probability", "top.confirmed",
+        F.size("named").cast("long").alias("n_paragraphs"), F.array_sort(F.array_distinct("named")).alias("families"),
     )
     return base.select(ROW, "doc_id").join(per_doc, ROW, "left").select(
         "doc_id",

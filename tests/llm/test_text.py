@@ -157,6 +157,39 @@ def test_license_scan_equals_brute_force(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+WRAPPED = {
+    "GPL": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as "
+    "published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "LGPL": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+    "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following "
+    "conditions\nare met:",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not\nuse this file except in compliance with\n'
+    "the License.",
+}
+
+
+def test_license_wrapped_over_lines(spark):
+    texts, want = [], []
+    for family, notice in WRAPPED.items():
+        starred = "/*\n * " + notice.replace("\n", "\r\n * ") + "\n */"
+        words = notice.replace("\n", " ").replace(" ", "\n")
+        for t in (notice, f"Some prose here.\n{notice}\nmore prose", f"{notice}\n\n{notice}", starred, f"The prose. {notice} More.", words):
+            texts.append(t)
+            want.append((family, True, 2 if "\n\n" in t else 1, [family]))
+    texts += [
+        WRAPPED["GPL"] + "\n" + WRAPPED["BSD"] + "\nAll rights reserved.\nAll rights reserved.",
+        "All\nrights reserved.", "Prose here\nLicensed under CC\nBY 4.0\nand more.", "Released under\n\nthe MIT License.", "A line.\nThe public\nversion.",
+    ]
+    docs = saved(spark, list(enumerate(texts)), "doc_id long, text string")
+    got = [(r["license"], r["confirmed"], r["n_paragraphs"], r["families"]) for r in license_scan.scan(docs).orderBy("doc_id").collect()]
+    assert got[: len(want)] == want
+    both, short, cc, split, none = got[len(want) :]
+    assert both[1:] == (True, 4, ["BSD", "GPL", "Proprietary"])
+    assert short == ("Proprietary", True, 1, ["Proprietary"]) and cc == ("CC-BY", True, 1, ["CC-BY"])
+    assert not split[1] and none[0] == "unknown" and not none[1]
+
+
 def test_license_plan_has_no_python(spark):
     docs = saved(spark, [(1, "Released under the MIT License.")], "doc_id long, text string")
     plan = license_scan.scan(docs)._jdf.queryExecution().toString()
