@@ -13,8 +13,9 @@ corrected for false positives: (c - n f) / (1 - f), f = fill^hashes. The
 language with the largest corrected count wins (ties: first by name); the
 score is that count over n.
 
-Bounds. Training uses about ``sample_rows`` documents per language, chosen by a
-hash of the text (all, if there are fewer); the n-grams kept are at most
+Bounds. Training uses about ``sample_rows`` distinct texts per language, chosen
+by a hash of the text (all, if there are fewer), each counted once in the share
+(an n-gram must be in two rows at least, copies included); the n-grams kept are at most
 ``max_grams`` per language, so the table that goes to the tasks has a fixed
 size. Prediction reads whole texts; several languages above 64 use more tables.
 
@@ -171,27 +172,32 @@ def learn(
 ) -> BitFilters:
     """Filters from the documents that are not held out and have a language."""
     rows = docs.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    # one count per language: bounded by the number of languages
-    seen = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # copies count once; a text is told by two hashes, so that no text is shuffled
+    texts = rows.groupBy("lang", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(5), "text").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # two counts per language: bounded by the number of languages
+    of_lang = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    seen = {r["lang"]: r["n"] for r in of_lang}
     if not seen:
         return BitFilters([], sizes, 3, 12, [], np.zeros(0), None)
     million = 1_000_000
-    limits = F.create_map(*[F.lit(x) for la, n in seen.items() for x in (la, min(million, million * sample_rows // n))])
+    limits = F.create_map(*[F.lit(x) for r in of_lang for x in (r["lang"], max(1, min(million, million * sample_rows // r["texts"])))])
     part = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(million)) < F.element_at(limits, F.col("lang")))
+    part = part.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lang, g in b.groupby("lang"):
-                texts = g["text"].tolist()
+                texts, copies = g["text"].tolist(), g["copies"].to_numpy()
                 for s in range(0, len(texts), 200):
                     h, owner, _ = gram_hashes(texts[s : s + 200], sizes)
-                    once = np.unique(np.stack([owner.astype(np.uint64), h], axis=1), axis=0)[:, 1]
-                    v, n = np.unique(once, return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "gram": v.view(np.int64), "n": n, "docs": 0})
-                yield pd.DataFrame({"lang": [lang], "gram": [0], "n": [0], "docs": [len(texts)]})
-
-    counts = part.mapInPandas(count, "lang string, gram long, n long, docs long").groupBy("lang", "gram").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs")
+                    once = np.unique(np.stack([owner.astype(np.uint64), h], axis=1), axis=0)
+                    v, at, n = np.unique(once[:, 1], return_inverse=True, return_counts=True)
+                    held = np.bincount(at, weights=copies[s : s + 200][once[:, 0].astype(np.int64)], minlength=len(v))
+                    yield pd.DataFrame({"lang": lang, "gram": v.view(np.int64), "n": n, "held": held.astype(np.int64), "docs": 0})
+                yield pd.DataFrame({"lang": [lang], "gram": [0], "n": [0], "held": [0], "docs": [len(texts)]})
+
+    counts = part.mapInPandas(count, "lang string, gram long, n long, held long, docs long").groupBy("lang", "gram").agg(
+        F.sum("n").alias("n"), F.sum("held").alias("held"), F.sum("docs").alias("docs")
     )
     from ._shared import written
 
@@ -203,7 +209,7 @@ def learn(
     docs_of = F.create_map(*[F.lit(x) for la, n in sampled.items() for x in (la, float(n))])
     share = counts.where("n > 0").withColumn("share", F.col("n") / F.element_at(docs_of, F.col("lang")))
     # n-grams rare everywhere go first, so few rows meet
-    common = share.where((F.col("share") >= min_share) & (F.col("n") >= 2))
+    common = share.where((F.col("share") >= min_share) & (F.col("held") >= 2))
     peak = common.groupBy("gram").agg(F.max("share").alias("peak"))
     chosen = common.join(peak, "gram").where(F.col("share") >= ratio * F.col("peak"))
     grams: dict[str, np.ndarray] = {}

@@ -1,5 +1,7 @@
 """Classifiers, license scans and quotation linking on small fixtures."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +124,24 @@ def test_language_edges(spark):
     assert language_id.identify(docs.limit(0)).count() == 0
 
 
+def test_language_copies_count_once(spark):
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5][:2400]  # not held out
+    rng = np.random.default_rng(4)
+    rows = []
+    for k, i in enumerate(ids[:2000]):
+        letters = ["abcdefgh", "ghijklmn"][k % 2]
+        rows.append((i, " ".join("".join(rng.choice(list(letters), 4)) for _ in range(12)), ["l0", "l1"][k % 2]))
+    rows += [(ids[2000 + k], f"{w} {w}{w}", "few") for k, w in enumerate(["uvw", "xyz", "vwx"])]
+    plain = language_id.learn(saved(spark, rows + rows[-3:], "doc_id long, text string, lang string"), sample_rows=300)
+    assert plain.langs == ["few", "l0", "l1"]
+    # any row of the large language may be hot; the texts of the small one are all hot
+    for hot in (rows[0], rows[2]):
+        docs = saved(spark, rows + [hot] * 9000 + rows[-3:] * 3000, "doc_id long, text string, lang string")
+        got = language_id.learn(docs, sample_rows=300)
+        assert got.langs == plain.langs and got.bits == plain.bits
+        assert all(np.array_equal(a, b) for a, b in zip(got.tables, plain.tables))
+
+
 # ----------------------------------------------------------- license scans
 LICENSED = {
     "Released under the MIT License.": "MIT",
