@@ -103,6 +103,22 @@ def test_embeddings_odd_vectors(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_default_recall(spark):
+    rng = np.random.default_rng(11)
+    vs = []
+    for _ in range(1500):  # pairs just above the threshold
+        x, y = rng.standard_normal((2, 32))
+        x /= np.linalg.norm(x)
+        y -= (x @ y) * x
+        c = rng.uniform(0.9001, 0.905)
+        vs += [x.tolist(), (c * x + np.sqrt(1 - c * c) * y / np.linalg.norm(y)).tolist()]
+    links, _ = embedding_truth(vs)
+    df = saved(spark, list(enumerate(vs)), "vec_id long, embedding array<double>")
+    found = embedding_dedup.near_duplicates(df).agg(F.sum("n_links")).first()[0]
+    assert 0.99 * links.sum() <= found <= links.sum()
+    assert embedding_dedup.recall(0.9) > 0.99
+
+
 def test_embedding_recall_rule():
     assert embedding_dedup.recall(0.9) > 0.95 and embedding_dedup.recall(0.95) > 0.999
     assert embedding_dedup.agree(0, 1.8) == 1.0
