@@ -62,7 +62,7 @@ def q_join_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @alias(["join_latest_snapshot_multikey", "filter_in_list"], """
-SELECT a.fund_code, a.type, a.name, a.percent FROM funds_allocations a
+SELECT a.fund_code, a.type, a.name, a.percent, a.as_of_date::DATE AS as_of_date FROM funds_allocations a
 JOIN (SELECT fund_code, type, max(as_of_date) AS d FROM funds_allocations
       WHERE type IN ('sector_alloc', 'country_alloc') AND fund_code IS NOT NULL AND as_of_date IS NOT NULL
       GROUP BY fund_code, type) l
