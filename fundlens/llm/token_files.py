@@ -17,9 +17,12 @@ zstandard tool still reads the file, since the table is skippable.
 Writing: documents are range-partitioned and sorted by doc_id; each partition
 encodes and streams one file (``shard-<n>``) into the shared folder. A task
 writes under a name of its own attempt and moves it into place, so a task that
-runs twice leaves one whole file. Reading back: one task per group of files,
-one frame in memory at a time; file totals (one row per file) give the number
-of ids before each file.
+runs twice leaves one whole file; a task that is killed may leave a hidden file of
+its attempt, which nothing reads. Reading back: a task for each file (up to
+``max_tasks``, then neighbouring files share one), one frame in memory at a
+time; file totals (one row per file) give the number of ids before each file.
+Executors reach the files through pyarrow: local and shared mounts, s3 (s3a is
+read as s3), gs and, where libhdfs is installed, hdfs.
 
 Defined cases. A null or empty text is its end id alone. Null doc_ids come
 first. Repeated rows are kept, each with its own frame. Empty partitions leave
@@ -34,7 +37,6 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyarrow import fs as pafs
@@ -54,6 +56,8 @@ FOOT = struct.Struct("<QBII")
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
     if "://" not in path and path.startswith("file:"):
         path = "file://" + path[len("file:") :]
+    if path.startswith("s3a://"):
+        path = "s3://" + path[len("s3a://") :]
     return pafs.FileSystem.from_uri(path)
 
 
@@ -140,39 +144,48 @@ def write_ids(
     return written(ordered.mapInArrow(run, "shard int, file string, docs long, ids long"), "token-files")
 
 
-def read_ids(files: DataFrame, with_ids: bool = False) -> DataFrame:
+def read_ids(files: DataFrame, with_ids: bool = False, max_tasks: int = 20_000) -> DataFrame:
     """Documents of the files that ``write_ids`` returned: doc_id, start,
     n_tokens, ids_crc32 and, if asked for, ids (unsigned 32-bit)."""
     before = F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     # one row per file, so the window is as small as the list of files
-    plan = files.select("file", F.coalesce(before, F.lit(0)).alias("before"))
-    plan = plan.repartition(F.col("file"))
+    plan = files.select("shard", "file", F.coalesce(before, F.lit(0)).alias("before"))
+    # a number that is given is not lowered at run time, small as the list is
+    plan = plan.repartitionByRange(max(1, min(files.count(), max_tasks)), "shard").select("file", "before")
+
+    def documents(file: str, start: int) -> Iterator[tuple]:
+        store, p = _fs(file)
+        with store.open_input_file(p) as f:
+            table, width = read_table(f, f.size())
+            for e, ids in zip(table, read_frames(f, table, width)):
+                raw = ids.astype("<u4").tobytes()
+                yield int(e["doc_id"]) if e["has_id"] else None, start, len(ids), zlib.crc32(raw), raw if with_ids else b""
+                start += len(ids)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, start in zip(b["file"], b["before"]):
-                store, p = _fs(file)
-                with store.open_input_file(p) as f:
-                    table, width = read_table(f, f.size())
-                    for s in range(0, len(table), 2000):
-                        part = table[s : s + 2000]
-                        n = part["n"].astype(np.int64)
-                        wide = [x.astype("<u4").tobytes() for x in read_frames(f, part, width)]
-                        out = pd.DataFrame(
-                            {
-                                "doc_id": pd.array(np.where(part["has_id"] == 1, part["doc_id"], 0), dtype="Int64"),
-                                "start": start + np.cumsum(n) - n,
-                                "n_tokens": n,
-                                "ids_crc32": [zlib.crc32(x) for x in wide],
-                            }
-                        )
-                        out.loc[part["has_id"] == 0, "doc_id"] = pd.NA
-                        start += int(n.sum())
-                        if with_ids:
-                            out["ids"] = wide
-                        yield out
-
-    return plan.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+            for file, start in zip(b["file"].to_pylist(), b["before"].to_pylist()):
+                rows: list[tuple] = []
+                held = 0
+                for row in documents(file, start):
+                    rows.append(row)
+                    held += 100 + len(row[4])
+                    if held >= 4 << 20:
+                        yield _batch(rows, with_ids)
+                        rows, held = [], 0
+                if rows:
+                    yield _batch(rows, with_ids)
+
+    return plan.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
+
+
+def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:
+    cols = list(zip(*rows))
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
+    arrays = [pa.array(c, pa.int64()) for c in cols[:4]]
+    if with_ids:
+        names, arrays = [*names, "ids"], [*arrays, pa.array(cols[4], pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 def round_trip(docs: DataFrame, **options) -> DataFrame:

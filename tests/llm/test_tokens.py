@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -107,6 +108,26 @@ def test_token_files_round_trip(spark, libs):
     assert token_files.round_trip(empty).count() == 0
 
 
+def test_token_files_are_read_by_one_task_each(spark):
+    docs = saved(spark, [f"some text {i}" for i in range(400)], extra=True)
+    path = tempfile.mkdtemp()
+    files = token_files.write_ids(docs.repartition(4), path)
+    names = [r["file"] for r in files.collect()]
+    assert sorted(os.path.basename(n) for n in names) == sorted(f for f in os.listdir(path) if not f.startswith("."))
+    got = token_files.read_ids(files, with_ids=True)
+    used = got.select("*", F.spark_partition_id().alias("p"))
+    assert got.rdd.getNumPartitions() == len(names) and used.count() == 400
+    full = {r["file"] for r in files.where("docs > 0").collect()}
+    assert used.select("p").distinct().count() == len(full)
+
+
+def test_token_files_clashing_columns(spark, libs):
+    rows = [(1, "a b", 7, "x", 3, 1), (None, None, None, None, None, None)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, start long, file string, shard int, ids long"), "texts")
+    got = {r["doc_id"]: r for r in token_files.round_trip(docs).collect()}
+    assert got[None]["n_tokens"] == 1 and got[1]["start"] == 1 and got[1]["n_tokens"] == 3
+
+
 def test_token_files_null_and_repeated_ids(spark):
     rows = [(None, "x"), (3, "b"), (3, "a"), (3, "a")]
     docs = written(spark.createDataFrame(rows, "doc_id long, text string"), "texts")
