@@ -8,13 +8,20 @@ are not in it go to the library in one batch.
 * ``byte``: a chunk starts at the text's start or at a space that is followed
   by a character other than white space. The byte-level pattern never matches
   across such a place, and reads such a space as the first character of the
-  next word.
+  next word. A line feed between other characters than white space is a word of
+  its own, and what follows it begins like a text.
 * ``word``: the normaliser makes every run of white space one space, the
   pattern drops it, and neither NFC nor lower-casing looks across it; chunks are
   the parts between spaces and line feeds (other white space stays inside a
-  chunk, for the library to split). A full stop or comma that ends a word is a
-  chunk too, and a text in NFC is lower-cased first, unless it holds one of the
-  two letters whose lower case depends on the method.
+  chunk, for the library to split). A text in NFC is lower-cased first, unless
+  it holds one of the two letters whose lower case depends on the method.
+
+A chunk that is not known is taken apart further: a full stop or comma after a
+Latin letter at the end of a line is a word of its own in both patterns.
+
+Texts are encoded in parts of about ``part_chars``: Arrow numbers the chunks of
+a part, the dictionary is asked once for each different chunk, and numpy lays
+the ids out in the order of the text.
 """
 
 from __future__ import annotations
@@ -23,16 +30,18 @@ import functools
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # a space followed by white space (or, for the end of a text, by nothing)
 _ODD_SPACE = re.compile(r" (?!\S)")
 _BREAK = re.compile(r" (?=\S)")
-# a full stop or comma between a letter and white space is a word of its own
-_STOP = re.compile(r"(?<=[^\W\d_])[.,](?=[ \n])")
+_CUT = "\x01"  # stands between chunks while a part is split
 
 
 def tokenizer_path(name: str) -> str:
@@ -41,18 +50,8 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class _Chunks(dict):
-    """Chunk -> ids. Frequent chunks are met early, so a full dictionary stays
-    as it is; chunks met later are kept for the current part only."""
-
-    once: dict[str, bytes]
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.once[chunk]
-
-
 class ChunkEncoder:
-    def __init__(self, path: str, kind: str, limit: int = 600_000, part_chars: int = 2_000_000):
+    def __init__(self, path: str, kind: str, limit: int = 1_000_000, part_chars: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -61,38 +60,91 @@ class ChunkEncoder:
         self.kind, self.limit, self.part = kind, limit, part_chars
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.first, self.known = _Chunks(), _Chunks()
+        # by what stands before a chunk: nothing, or (kind byte) a space
+        self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
-    def _chunks(self, text: str) -> list[str]:
+    def _marked(self, text: str) -> str | None:
+        """The text with ``_CUT`` between its chunks; None if it holds one."""
+        if _CUT in text:
+            return None
         if self.kind == "word":
             if "Σ" not in text and "İ" not in text and is_normalized("NFC", text):
                 text = text.lower()  # as the normaliser does, so that chunks repeat more often
-            return _STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")
-        if _ODD_SPACE.search(text):
-            return _BREAK.split(text)
-        return text.split(" ")
-
-    def _learn(self, cache: _Chunks, words: set[str], lead: str) -> None:
-        new = list(words - cache.keys())
-        cache.once = {}
+            return text.replace("\n", _CUT).replace(" ", _CUT)
+        return _BREAK.sub(_CUT, text) if _ODD_SPACE.search(text) else text.replace(" ", _CUT)
+
+    def _atoms(self, chunk: str) -> list[str]:
+        """Parts of a chunk with independent ids; only the first one has the
+        chunk's space before it."""
+        if "\n" in chunk:
+            lines = chunk.split("\n")
+            if "" in lines or lines != chunk.split():
+                return [chunk]
+            return [*self._atoms(lines[0]), *(a for x in lines[1:] for a in ("\n", *self._atoms(x)))]
+        if chunk[-1:] in (".", ",") and "" < chunk[-2:-1] < "\u0250" and chunk[-2].isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return [chunk]
+
+    def _encoded(self, atoms: set[str], lead: str) -> dict[str, bytes]:
+        cache = self.known[lead]
+        got = {a: cache.get(a) for a in atoms}
+        new = [a for a, ids in got.items() if ids is None]
         for s in range(0, len(new), 20_000):
             part = new[s : s + 20_000]
-            got = self.tok.encode_batch_fast([lead + w for w in part] if lead else part, add_special_tokens=False)
-            ids = (array(self.code, e.ids).tobytes() for e in got)
-            (cache if len(cache) + len(part) <= self.limit else cache.once).update(zip(part, ids))
+            found = self.tok.encode_batch_fast([lead + w for w in part] if lead else part, add_special_tokens=False)
+            got.update(zip(part, (array(self.code, e.ids).tobytes() for e in found)))
+        self._keep(cache, ((a, got[a]) for a in new))
+        return got
+
+    def _keep(self, cache: dict[str, bytes], items: Iterable[tuple[str, bytes]]) -> None:
+        """Frequent chunks are met early, so a full cache stays as it is."""
+        if len(cache) < self.limit:
+            cache.update(islice(items, self.limit - len(cache)))
+
+    def _ids(self, chunks: list[str], lead: str) -> list[bytes]:
+        cache = self.known[lead]
+        got = list(map(cache.get, chunks))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        if not missing:
+            return got
+        atoms = {c: self._atoms(c) for c in {chunks[i] for i in missing}}
+        first = self._encoded({a[0] for a in atoms.values()}, lead)
+        later = self._encoded({x for a in atoms.values() for x in a[1:]}, "")
+        once = {c: b"".join([first[a[0]], *map(later.__getitem__, a[1:])]) for c, a in atoms.items()}
+        for i in missing:
+            got[i] = once[chunks[i]]
+        # chunks over a line feed hardly repeat
+        self._keep(cache, ((c, ids) for c, ids in once.items() if len(atoms[c]) == 2))
+        return got
 
     def _encode_some(self, texts: list[str]) -> list[bytes]:
-        parts = [self._chunks(t) for t in texts]
-        if self.kind == "word":
-            self._learn(self.known, set().union(*parts), "")
-            get = self.known.__getitem__
-            return [b"".join(map(get, p)) for p in parts]
-        heads = [p[0] for p in parts]
-        self._learn(self.first, set(heads), "")
-        tails = [p[1:] for p in parts]
-        self._learn(self.known, set().union(*tails), " ")
-        get = self.known.__getitem__
-        return [self.first[h] + b"".join(map(get, p)) for h, p in zip(heads, tails)]
+        marked = [self._marked(t) for t in texts]
+        if None in marked:  # a text that holds the mark is one chunk
+            done = iter(self._encode_some([t for t, m in zip(texts, marked) if m is not None]))
+            return [next(done) if m is not None else self._ids([t], "")[0] for t, m in zip(texts, marked)]
+        if not texts:
+            return []
+        chunks = pc.split_pattern(pa.array(marked, pa.string()), _CUT)
+        at = chunks.offsets.to_numpy()
+        numbered = chunks.values.dictionary_encode()
+        codes = numbered.indices.to_numpy(zero_copy_only=False).copy()
+        different = numbered.dictionary.to_pylist()
+        byte = self.kind == "byte"
+        ids = self._ids(different, " " if byte else "")
+        if byte:  # the first chunk of a text has no space before it
+            heads = self._ids([different[i] for i in codes[at[:-1]]], "")
+            codes[at[:-1]] = np.arange(len(ids), len(ids) + len(heads))
+            ids += heads
+        width = self.dtype.itemsize
+        # a part has far fewer than 2^31 ids
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // width
+        table = np.frombuffer(b"".join(ids), self.dtype)
+        starts = np.cumsum(size, dtype=np.int32) - size
+        n = size[codes]
+        ends = np.cumsum(n, dtype=np.int32)
+        out = table[np.repeat(starts[codes] - ends + n, n) + np.arange(ends[-1], dtype=np.int32)].tobytes()
+        cuts = (np.concatenate([[0], ends])[at] * width).tolist()
+        return [out[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def _pieces(self, text: str) -> Iterator[str]:
         """Parts of a long text, cut where encoding is independent. A later
