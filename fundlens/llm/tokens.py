@@ -27,11 +27,12 @@ the ids out in the order of the text.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice, pairwise
 from unicodedata import is_normalized
 
 import numpy as np
@@ -50,6 +51,47 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[str, int]:
+    """Letter of a byte in the vocabulary -> byte: printable Latin-1 stands for
+    itself, the other bytes follow from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+def merger(path: str) -> Callable[[bytes], list[int]] | None:
+    """A faster merger of one word for a byte-level tokenizer, or None.
+
+    It merges the neighbours whose concatenation has the lowest id, whichever
+    pair it is. That equals merging listed pairs in their order if ids grow
+    along the list and every token, spelled out, merges back to itself: had two
+    neighbours another spelling of a token, that token alone would stop there
+    too. Both conditions are checked here.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    letters, vocab = _byte_letters(), model["vocab"]
+    if not letters.keys() <= vocab.keys():
+        return None
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    ids = [vocab["".join(p)] for p in pairs]
+    if any(a >= b for a, b in pairwise(ids)) or (ids and min(ids) <= max(vocab[c] for c in letters)):
+        return None
+    order = {p: i for i, p in enumerate(pairs)}
+    for a, b in pairs:
+        word = list(a + b)
+        while len(word) > 1:
+            best, i = min((order.get(p, len(order)), i) for i, p in enumerate(pairwise(word)))
+            if best == len(order):
+                return None
+            word[i : i + 2] = ["".join(word[i : i + 2])]
+    ranks = {bytes([b]): vocab[c] for c, b in letters.items()}
+    ranks |= {bytes(letters[c] for c in a + b): n for (a, b), n in zip(pairs, ids)}
+    return tiktoken.Encoding("bytes", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
 class ChunkEncoder:
     def __init__(self, path: str, kind: str, limit: int = 1_000_000, part_chars: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -60,6 +102,7 @@ class ChunkEncoder:
         self.kind, self.limit, self.part = kind, limit, part_chars
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.merge = merger(path) if kind == "byte" else None
         # by what stands before a chunk: nothing, or (kind byte) a space
         self.known: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
@@ -89,8 +132,14 @@ class ChunkEncoder:
         cache = self.known[lead]
         got = {a: cache.get(a) for a in atoms}
         new = [a for a, ids in got.items() if ids is None]
-        for s in range(0, len(new), 20_000):
-            part = new[s : s + 20_000]
+        rest = new
+        if self.merge is not None:
+            # Latin letters with at most a space before them are one word of the pattern
+            letters = [a for a in new if a.isalpha() and max(a) < "\u0250"]
+            got.update((a, array(self.code, self.merge((lead + a).encode())).tobytes()) for a in letters)
+            rest = [a for a in new if got[a] is None]
+        for s in range(0, len(rest), 20_000):
+            part = rest[s : s + 20_000]
             found = self.tok.encode_batch_fast([lead + w for w in part] if lead else part, add_special_tokens=False)
             got.update(zip(part, (array(self.code, e.ids).tobytes() for e in found)))
         self._keep(cache, ((a, got[a]) for a in new))
@@ -128,7 +177,7 @@ class ChunkEncoder:
         at = chunks.offsets.to_numpy()
         numbered = chunks.values.dictionary_encode()
         codes = numbered.indices.to_numpy(zero_copy_only=False).copy()
-        different = numbered.dictionary.to_pylist()
+        different = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
         byte = self.kind == "byte"
         ids = self._ids(different, " " if byte else "")
         if byte:  # the first chunk of a text has no space before it
