@@ -7,19 +7,23 @@ a reporting verb or between quote marks, and with one that marks a clause that
 addresses somebody. What is left of a clause is its pattern; each
 pattern's total lexicon weight is a feature, and a logistic model weighs them.
 So a word alone does not decide: "not an idiot" and "they called him an idiot"
-are other patterns than "you idiot".
-
-Insult stems are learned from labelled documents: word beginnings of 4 to 8
-letters that are nearly always in documents marked toxic, in many different
-contexts (words that only copies of one document repeat are not stems). Their
-weight is their precision. The short seed list holds general words, used also
-where no label exists. Pattern weights are fitted with a Gaussian prior at
-``PRIOR``, so patterns that the labels never show keep a sensible weight.
+are other patterns than "you idiot", and a first insult that is aimed at nobody
+is another feature than those that follow it.
+
+Insult stems are learned from labelled documents, of equal texts one: word
+beginnings of 4 to 8 letters whose share of toxic documents exceeds the base rate
+significantly (Chernoff bound of the binomial tail; Benjamini-Hochberg over all
+beginnings that were counted) and is at least ``precision``, in many different
+contexts (words that only near copies repeat are not stems). Their weight is
+their precision. The short seed list holds general words, used also where no
+label exists. Pattern weights are fitted with a Gaussian prior at ``PRIOR``, so
+patterns that the labels never show keep a sensible weight.
 
 Bounds. Learning uses at most ``sample_rows`` labelled documents outside the
-held-out fold (those with the smallest hash of their id); at most ``max_stems``
-stems are kept. Scoring reads whole texts; only clauses with an insult or
-threat are parsed. Labels, lang, source and doc_id are no inputs of a score.
+held-out fold (those with the smallest hash of their id); the ``max_stems`` most
+significant beginnings are considered. Scoring reads whole texts; only clauses
+with an insult or threat are parsed. Labels, lang, source and doc_id are no inputs
+of a score.
 
 Defined cases. Null and empty texts score like a text without a match. No
 labels: seeds and prior weights. Labels that are null or of unknown documents
@@ -29,6 +33,7 @@ and extra columns do not matter.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from collections import Counter
@@ -55,8 +60,8 @@ REPORTS = (
 
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[\"“”«»„]")
 BORDER = re.compile(r"[.!?;\n]+")
-PATTERNS = ("insult", "insult+target", "insult-negated", "insult-reported", "threat", "threat+target", "threat-negated", "threat-reported")
-PRIOR = np.array([-3.0, 4.0, 6.0, -0.5, 0.2, 1.5, 6.0, -0.5, 0.2])  # bias, then PATTERNS
+PATTERNS = ("insult", "insult-again", "insult+target", "insult-negated", "insult-reported", "threat", "threat+target", "threat-negated", "threat-reported")
+PRIOR = np.array([-3.0, 1.5, 5.0, 6.0, -0.5, 0.2, 1.5, 6.0, -0.5, 0.2])  # bias, then PATTERNS
 
 
 class Transducer:
@@ -191,12 +196,18 @@ class Grammar:
                 yield a, b, got
 
     def features(self, text: str | None) -> np.ndarray:
-        """log(1 + total weight) of each pattern."""
-        x = np.zeros(len(PATTERNS))
+        """log(1 + total weight) of each pattern. Aimed clauses count as insults
+        and threats too, so their own weight is what the target adds; an
+        insult weight of one is the first, the rest is ``insult-again``."""
+        total = dict.fromkeys(PATTERNS, 0.0)
         for _, _, got in self.matches(text):
             for k, v in got.items():
-                x[PATTERNS.index(k)] += v
-        return np.log1p(x)
+                total[k] += v
+        total["insult"] += total["insult+target"]
+        total["threat"] += total["threat+target"]
+        total["insult-again"] = max(0.0, total["insult"] - 1.0)
+        total["insult"] = min(1.0, total["insult"])
+        return np.log1p([total[k] for k in PATTERNS])
 
     def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         x = np.array([self.features(t) for t in texts]).reshape(-1, len(PATTERNS))
@@ -216,8 +227,8 @@ def learn(
     labels: DataFrame,
     sample_rows: int = 20_000,
     max_stems: int = 2000,
-    min_docs: int = 4,
-    precision: float = 0.98,
+    precision: float = 0.9,
+    false_discoveries: float = 0.01,
 ) -> Grammar:
     known = (
         labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
@@ -248,8 +259,17 @@ def learn(
             yield rows(seen)
 
     counts = sample.mapInPandas(count, "stem string, t long, c long").groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    good = counts.where((F.col("t") >= min_docs) & (F.col("t") >= precision * (F.col("t") + F.col("c"))))
-    candidates = {r["stem"]: (r["t"], r["c"]) for r in good.orderBy(F.desc("t"), "stem").limit(20 * max_stems).collect()}
+    counts = written(counts, "beginnings")
+    of = sample.agg(F.avg("toxic").alias("rate")).first()["rate"] or 0.0
+    tests = counts.count()
+    candidates: dict[str, tuple[int, int]] = {}
+    if 0 < of < 1:
+        n, q = F.col("t") + F.col("c"), F.col("t") / (F.col("t") + F.col("c"))
+        rest = F.when(F.col("c") > 0, (1 - q) * F.log((1 - q) / (1 - of))).otherwise(0.0)
+        scored = counts.where((F.col("t") >= precision * n) & (q > of)).withColumn("bits", n * (q * F.log(q / of) + rest))
+        best = scored.orderBy(F.desc("bits"), "stem").limit(max_stems).collect()  # bits: -log of the bound of the tail
+        passed = [i for i, r in enumerate(best, 1) if -r["bits"] <= math.log(false_discoveries * i / tests)]
+        candidates = {r["stem"]: (r["t"], r["c"]) for r in best[: max(passed, default=0)]}
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -262,16 +282,15 @@ def learn(
     stems: dict[str, float] = {}
     if candidates:
         varied = sample.where("toxic = 1").select("text").mapInPandas(contexts, "stem string, around string")
-        for r in varied.groupBy("stem").agg(F.countDistinct("around").alias("n")).collect():  # at most 20 * max_stems rows
+        for r in varied.groupBy("stem").agg(F.countDistinct("around").alias("n")).collect():  # at most max_stems rows
             t, c = candidates[r["stem"]]
-            if r["n"] >= max(min_docs, 0.6 * t):
+            if r["n"] >= 0.6 * t:
                 stems[r["stem"]] = (t + 0.5) / (t + c + 1)
     chosen: dict[str, float] = {}
     for s in sorted(stems, key=lambda s: (len(s), s)):
         if not any(s[:n] in chosen for n in range(4, len(s))):
             chosen[s] = stems[s]
-    top = sorted(chosen, key=lambda s: (-candidates[s][0], s))[:max_stems]
-    grammar = Grammar({w: 1.0 for w in SEED_INSULTS} | {s: chosen[s] for s in top})
+    grammar = Grammar({w: 1.0 for w in SEED_INSULTS} | chosen)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

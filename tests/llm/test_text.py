@@ -1,5 +1,6 @@
 """Classifiers, license scans and quotation linking on small fixtures."""
 
+import itertools
 import zlib
 
 import numpy as np
@@ -70,6 +71,36 @@ def test_toxicity_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_toxicity_precision_and_recall(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    train = docs.where("text is not null")
+    seen = train.where(~toxicity.held_out("doc_id")).select("text").distinct()
+    grammar = toxicity.learn(docs, labels)
+    # texts that both folds share would flatter the figures
+    fresh = train.where(toxicity.held_out("doc_id")).join(seen, "text", "left_anti").join(labels, "doc_id").where("toxic is not null")
+    got = fresh.select("toxic", (toxicity.score(grammar) >= 0.5).cast("int").alias("predicted")).collect()
+    hit = sum(r["toxic"] == r["predicted"] == 1 for r in got)
+    assert len(got) > 500
+    assert hit >= 0.95 * sum(r["predicted"] for r in got)
+    assert hit >= 0.85 * sum(r["toxic"] for r in got)
+    # a word that is aimed at nobody does not decide, two do
+    one, two, aimed = grammar.scores(["what an idiot it was", "an idiot and a moron", "you idiot"])
+    assert one < 0.5 < two and aimed > 0.5
+
+
+def test_toxicity_stems_need_significance(spark):
+    rows, labels = [], []
+    names = ["".join(p) for p in itertools.product("abcdefg", repeat=3)]
+    for i in range(1, 241):
+        bad = i % 4 == 0
+        rare = " oddword" if i in (4, 8, 12) else ""  # in three toxic texts only: chance
+        rows.append((i, f"some prose {names[i]} of {names[i * 7 % 50]}" + (f" grumpf {names[i + 1]}" if bad else "") + f"{rare} {names[i + 2]}"))
+        labels.append((i, int(bad)))
+    docs = saved(spark, rows, "doc_id long, text string")
+    stems = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).stems
+    assert "grum" in stems and not any(s.startswith("odd") for s in stems)
+
+
 def test_toxicity_edges(spark):
     docs = saved(spark, [(1, None, 9), (2, "", 9), (2, "you idiot " * 20_000, 9), (None, "fine", 9)], "doc_id long, text string, toxic int")
     labels = spark.createDataFrame([(1, None), (77, 1), (None, 1)], "doc_id long, toxic int")
