@@ -8,7 +8,9 @@
 
 ``--sf`` points at the driver's parquet tables (read through the adapter).
 With ``--source-dir`` instead, the twelve fund source tables are read as
-``DIR/<name>`` parquet folders. Output folders are overwritten.
+``DIR/<name>`` parquet folders. Each build of ``build-mart`` and
+``api-snapshot`` is a new version of its output folder (``sources/publish.py``);
+the payload folder is overwritten.
 """
 
 from __future__ import annotations
@@ -40,12 +42,13 @@ def _mart(spark: SparkSession, args):
 
 
 def cmd_build_mart(spark: SparkSession, args) -> int:
-    from .sources.sinks import write_tables
+    from .sources.publish import publish
 
     m = _mart(spark, args)
-    paths = write_tables(m.tables(), args.out)
+    tables = m.tables()
+    version = publish(tables, args.out)
     m.register_views()
-    print(f"wrote {len(paths)} tables under {args.out}")
+    print(f"published {len(tables)} tables under {args.out} as version {version}")
     return 0
 
 
@@ -60,10 +63,12 @@ def cmd_check(spark: SparkSession, args) -> int:
 
 
 def cmd_api_snapshot(spark: SparkSession, args) -> int:
-    from .sources.sinks import write_tables
+    from .plans.star import StarSchema
+    from .sources.publish import publish, published
 
-    star = _mart(spark, args).star
-    write_tables(star.tables(), args.out)
+    star = StarSchema(_mart(spark, args), known=published(spark, args.out))  # ids of earlier snapshots are kept
+    version = publish({**star.tables(), **star.key_tables()}, args.out)
+    print(f"published the snapshot under {args.out} as version {version}")
     return 0
 
 

@@ -8,7 +8,11 @@ define("o_dim_funds", """
 SELECT row_number() OVER (ORDER BY code NULLS LAST) AS id, * FROM (
   SELECT f.full_name_th AS name_th, f.full_name_en AS name_en, f.amc, f.category, f.fund_code AS code, f.risk_level,
          p.total_return_1y AS return_1y
-  FROM funds_master_info f LEFT JOIN funds_performance p ON f.fund_code = p.fund_code)""")
+  FROM (SELECT * FROM (SELECT *, row_number() OVER (
+                         PARTITION BY fund_code ORDER BY full_name_th NULLS FIRST, full_name_en NULLS FIRST, amc NULLS FIRST,
+                         category NULLS FIRST, risk_level NULLS FIRST) AS rn FROM funds_master_info) WHERE rn = 1) f
+  LEFT JOIN (SELECT fund_code, max(total_return_1y) AS total_return_1y FROM funds_performance GROUP BY fund_code) p
+    ON f.fund_code = p.fund_code)""")
 
 define("o_thai_holdings", f"""
 SELECT h.fund_code, d.id AS fund_id, h.symbol, h.name AS holding_name, h.sector, h.type,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +42,10 @@ def static_isin_ready(ft_static: DataFrame) -> DataFrame:
 def bridge_feeder(feeder: DataFrame, static: DataFrame) -> DataFrame:
     """Every feeder row, left-joined to every master sharing its ISIN."""
     s = static.select("ft_ticker", "ticker", "isin_number", "name", "ticker_type")
-    # feeders without an ISIN match nothing: they go around the join
-    keyed = feeder.where(F.col("token_isin").isNotNull())
-    j = keyed.join(s, keyed["token_isin"] == s["isin_number"], "left")
-    j = j.unionByName(feeder.where(F.col("token_isin").isNull()), allowMissingColumns=True)
+    # feeders without an ISIN match nothing; keys that no ISIN equals spread them over the tasks
+    spread = F.concat(F.lit("~"), F.xxhash64("fund_code", "feeder_name").cast("string"))
+    keyed = feeder.withColumn("_key", F.coalesce("token_isin", spread))
+    j = keyed.join(s, keyed["_key"] == s["isin_number"], "left")
     return j.withColumn("map_method", F.lit(config.MAP_FEEDER)).select(*BRIDGE_COLS)
 
 
@@ -55,20 +57,19 @@ def mapped_funds(bridge_f: DataFrame) -> DataFrame:
 def bridge_fallback(thai_isin: DataFrame, static: DataFrame, already_mapped: DataFrame) -> DataFrame:
     """J5 + J6 + A15 + P3: one master per unmapped fund through the fund's
     own ISIN (Fund before ETF before others, then the largest AUM)."""
-    s = static.select("ft_ticker", "ticker", "isin_number", "name", "ticker_type", "assets_aum_full_value")
-    m = thai_isin.join(s, thai_isin["isin_code"] == s["isin_number"], "inner")
-    m = m.join(already_mapped, "fund_code", "left_anti")
-    m = m.select(
-        "fund_code",
-        "isin_code",
-        "ft_ticker",
-        "ticker",
-        "name",
-        "ticker_type",
+    order = [asc("pref"), desc("aum"), asc("ft_ticker")]
+    s = static.select(
+        "isin_number", "ft_ticker", "ticker", "name", "ticker_type",
         to_float0("assets_aum_full_value").alias("aum"),
         map_to_priority("ticker_type", config.TICKER_TYPE_PREF, config.DEFAULT_PRIORITY).alias("pref"),
     )
-    best = first_per_key(m, ["fund_code"], [asc("pref"), desc("aum"), asc("ft_ticker")])
+    # one master per ISIN can be chosen before funds are joined, so the join does not fan out
+    s = first_per_key(s, ["isin_number"], order)
+    funds = thai_isin.select("fund_code", "isin_code").join(already_mapped, "fund_code", "left_anti")
+    m = funds.join(s, funds["isin_code"] == s["isin_number"], "inner").select(
+        "fund_code", "isin_code", "ft_ticker", "ticker", "name", "ticker_type", "aum", "pref"
+    )
+    best = first_per_key(m, ["fund_code"], order)
     return best.select(
         "fund_code",
         F.col("name").alias("feeder_name"),
@@ -84,12 +85,13 @@ def bridge_fallback(thai_isin: DataFrame, static: DataFrame, already_mapped: Dat
     )
 
 
-def build_bridge(ds: Dataset) -> DataFrame:
+def build_bridge(ds: Dataset, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """U1 + M2 + A14: union, weights to numbers, one row per (fund, master)
-    preferring the feeder mapping; unmapped feeders collapse to one row."""
+    preferring the feeder mapping; unmapped feeders collapse to one row. The
+    feeder rows are read twice; ``keep`` shares them."""
     feeder = feeder_with_tokens(ds.thai_feeder)
     static = static_isin_ready(ds.ft_static)
-    bf = bridge_feeder(feeder, static)
+    bf = keep(bridge_feeder(feeder, static))
     fb = bridge_fallback(ds.thai_isin, static, mapped_funds(bf))
     u = bf.unionByName(fb).withColumn("feeder_weight_pct", to_float0("feeder_weight_pct"))
     u = u.withColumn("priority", map_to_priority("map_method", config.MAP_PRIORITY, config.DEFAULT_PRIORITY))

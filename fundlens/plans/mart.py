@@ -59,7 +59,7 @@ class Mart:
 
     @cached_property
     def bridge(self) -> DataFrame:
-        return build_bridge(self.ds)
+        return build_bridge(self.ds, self._keep)
 
     @cached_property
     def bridge_ok(self) -> DataFrame:
@@ -161,6 +161,28 @@ class Mart:
             "agg_dashboard_cards": self.cards,
         }
 
+    def presence(self) -> dict[str, DataFrame]:
+        """For each mart table a frame that holds rows exactly if the table
+        does: shared facts and unranked aggregates, so that a check for rows
+        ranks and sorts nothing."""
+        top = ex.top_holdings_unranked(self.stock_shared)
+        return {
+            "stg_nav_aum_native": self.stg_nav,
+            "bridge_thai_master": self.bridge,
+            "fact_effective_exposure_stock": self.stock_shared,
+            "fact_effective_exposure_sector": self.sector_shared,
+            "fact_effective_exposure_region": self.region_shared,
+            "agg_top_holdings": top,
+            "agg_top_holdings_topn": top,
+            "agg_sector_exposure": self.sector_agg,
+            "agg_sector_exposure_topn": self.sector_agg,
+            "agg_country_exposure": self.country_agg,
+            "agg_country_exposure_topn": self.country_agg,
+            "agg_region_exposure": self.region_agg,
+            "agg_fund_coverage": self.coverage,
+            "agg_dashboard_cards": self.cards,
+        }
+
     def register_views(self) -> list[str]:
         """Mart tables and serving views as temp views."""
         from .serving import serving_views

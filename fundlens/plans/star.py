@@ -12,7 +12,8 @@ from .. import config
 from ..functions.numeric import exact_sum, null_to_zero, share_pct
 from ..functions.strings import clean_stock_name, extract_symbol, non_blank, normalize_ticker, strip_ws
 from ..operators.distribution import attach_scalars, global_row_number, group_row_number
-from ..operators.snapshots import asc, first_per_key, latest_snapshot
+from ..operators.keys import assign_ids, extended
+from ..operators.snapshots import asc, desc, first_per_key, latest_snapshot
 
 
 def latest_allocations(allocations: DataFrame) -> DataFrame:
@@ -30,11 +31,25 @@ def classify_instrument(type_col: str = "type"):
 
 
 class StarSchema:
-    """3 dimensions + 5 facts from the local source and the mart."""
+    """3 dimensions + 5 facts from the local source and the mart.
 
-    def __init__(self, m):
+    ``known`` holds the key dictionaries of an earlier build (table name ->
+    natural key, id): their ids are kept, new keys continue after them."""
+
+    KEYS = {"funds": "code", "master_funds": "name_en", "stocks": "symbol"}
+
+    def __init__(self, m, known: Mapping[str, DataFrame] | None = None):
         self.m = m
         self.src: Mapping[str, DataFrame] = m.src
+        self.known = dict(known or {})
+
+    def _ids(self, table: str, rows: DataFrame, order) -> DataFrame:
+        return assign_ids(rows, self.KEYS[table], order, self.known.get(f"{table}_keys"))
+
+    def key_tables(self) -> dict[str, DataFrame]:
+        """The key dictionaries after this build, for the next one."""
+        dims = {"funds": self.dim_funds, "master_funds": self.dim_master_funds, "stocks": self.dim_stocks}
+        return {f"{t}_keys": extended(self.known.get(f"{t}_keys"), d, self.KEYS[t]) for t, d in dims.items()}
 
     @cached_property
     def dim_funds(self) -> DataFrame:
@@ -42,12 +57,15 @@ class StarSchema:
         fm = self.src["funds_master_info"].select(
             "fund_code", "full_name_th", "full_name_en", "amc", "category", "risk_level")
         perf = self.src["funds_performance"].select("fund_code", "total_return_1y")
+        # repeated rows must not multiply funds
+        fm = first_per_key(fm, ["fund_code"], [])
+        perf = first_per_key(perf, ["fund_code"], [desc("total_return_1y")])
         j = fm.join(perf, "fund_code", "left")
         j = j.select(
             F.col("full_name_th").alias("name_th"), F.col("full_name_en").alias("name_en"), "amc", "category",
             F.col("fund_code").alias("code"), "risk_level", F.col("total_return_1y").alias("return_1y"),
         )
-        return global_row_number(j, [F.col("code").asc_nulls_last()], "id")
+        return self._ids("funds", j, [F.col("code").asc_nulls_last()])
 
     @cached_property
     def thai_holdings(self) -> DataFrame:
@@ -84,7 +102,7 @@ class StarSchema:
         """A22 + W8."""
         names = self.master_rows.select(F.col("m_name").alias("name_en")).distinct()
         d = names.select("name_en", F.lit(config.MASTER_AMC).alias("amc"), F.lit(config.MASTER_CATEGORY).alias("category"))
-        return global_row_number(d, [F.col("name_en").asc_nulls_last()], "id")
+        return self._ids("master_funds", d, [F.col("name_en").asc_nulls_last()])
 
     @cached_property
     def fact_master_holdings(self) -> DataFrame:
@@ -121,7 +139,7 @@ class StarSchema:
                               [asc("origin"), asc("fund_code"), asc("full_name"), asc("sector")])
         d = first.select("symbol", "full_name", "sector", "stock_type", F.lit(0.0).alias("percent_change"),
                          "country", "origin")
-        ranked = global_row_number(d, [F.col("origin").asc(), F.col("symbol").asc_nulls_last()], "id")
+        ranked = self._ids("stocks", d, [F.col("origin").asc(), F.col("symbol").asc_nulls_last()])
         return ranked.drop("origin")
 
     @cached_property

@@ -31,4 +31,4 @@ def register(key: str, oracle: str | None = None) -> Callable[[QueryFn], QueryFn
 
 
 def load_all() -> None:
-    from . import core, fx, quality, scalars, serving, sources, star  # noqa: F401
+    from . import core, fx, quality, serving, star  # noqa: F401

@@ -263,13 +263,13 @@ def q_top_holdings(spark: SparkSession, sf: str) -> DataFrame:
     return mart(spark, sf).top_holdings
 
 
-@alias(["topn_holdings", "view_top_holdings"], f"""
+@alias(["topn_holdings"], f"""
 SELECT *, row_number() OVER (ORDER BY {HOLDING_ORDER}) AS rank_no FROM o_top_unranked ORDER BY {HOLDING_ORDER} LIMIT {config.TOP_N}""")
 def q_topn(spark: SparkSession, sf: str) -> DataFrame:
     return mart(spark, sf).top_holdings_topn
 
 
-@alias(["agg_sector_exposure", "share_of_total", "view_sector_allocation"], "SELECT * FROM o_sector_agg")
+@alias(["agg_sector_exposure", "share_of_total"], "SELECT * FROM o_sector_agg")
 def q_sector_agg(spark: SparkSession, sf: str) -> DataFrame:
     return mart(spark, sf).sector_agg
 
@@ -285,7 +285,7 @@ def q_region_agg(spark: SparkSession, sf: str) -> DataFrame:
     return mart(spark, sf).region_agg
 
 
-@alias(["agg_country_exposure", "filter_country_rows", "view_country_allocation"], "SELECT * FROM o_country_agg")
+@alias(["agg_country_exposure", "filter_country_rows"], "SELECT * FROM o_country_agg")
 def q_country_agg(spark: SparkSession, sf: str) -> DataFrame:
     return mart(spark, sf).country_agg
 

@@ -13,7 +13,9 @@ from ..operators import quality as dq
 from ..oracle import star  # noqa: F401
 from ..oracle.ctes import define
 from ..oracle.stages import HOLDING_ORDER, dsum, f0
+from ..sources.publish import digests
 from .common import mart
+from .contracts import MART, digests_sql
 from .core import alias
 
 
@@ -50,27 +52,6 @@ MART_SRC = {
                                  f"region_name NULLS LAST LIMIT {config.TOP_N})",
     "agg_region_exposure": "o_region_agg", "agg_fund_coverage": "o_coverage", "agg_dashboard_cards": "o_cards",
 }
-# the column of each mart table whose sum is compared beside its row count
-MART_VALUE = {
-    "stg_nav_aum_native": "aum_native", "bridge_thai_master": "feeder_weight_pct", "agg_fund_coverage": "coverage_ratio",
-    "agg_dashboard_cards": "total_holdings_value_thb",
-    **{t: "true_value_thb" for t in MART_SRC if t.startswith("fact_")},
-    **{t: "total_true_value_thb" for t in MART_SRC if t.startswith("agg_") and ("exposure" in t or "holdings" in t)},
-}
-
-
-def counts_sql(sources: dict[str, str], values: dict[str, str]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, {dsum(values[t])} AS value_sum FROM {src}" for t, src in sources.items())
-
-
-def counted(tables: dict[str, DataFrame], values: dict[str, str]) -> DataFrame:
-    """One row per table: its rows and the sum of its value column."""
-    return reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("row_count"), exact_sum(values[t]).alias("value_sum"))
-        .select(F.lit(t).alias("table_name"), "row_count", "value_sum") for t, df in tables.items()])
-
-
 MISSING_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name FROM (SELECT count(*) AS c FROM {MART_SRC[t]}) WHERE c = 0" for t in config.REQUIRED_MART_TABLES)
 
@@ -175,9 +156,10 @@ def q_smoke(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-@alias(["build_exposure_tables"], counts_sql(MART_SRC, MART_VALUE))
+@alias(["build_exposure_tables"], digests_sql(MART_SRC, MART))
 def q_build(spark: SparkSession, sf: str) -> DataFrame:
-    return counted(mart(spark, sf).tables(), MART_VALUE)
+    """Rows and a digest over all columns of the 14 mart tables."""
+    return digests(mart(spark, sf).tables())
 
 
 @alias(["set_missing_tables"], MISSING_SQL)

@@ -11,9 +11,11 @@ from ..oracle.ctes import define
 from ..oracle.stages import dsum, strip
 from ..plans import serving as sv
 from ..plans.exposure import alloc_order
+from ..sources.publish import digests, publish, published
 from .common import mart
+from .contracts import MART, VIEWS, columns, digests_sql
 from .core import alias
-from .quality import MART_SRC, MART_VALUE, counted, counts_sql
+from .quality import MART_SRC
 
 SEARCH_ORDER = ("total_true_value_thb DESC NULLS LAST, fund_code NULLS LAST, holding_name NULLS LAST, "
                 "holding_ticker NULLS LAST, holding_type NULLS LAST")
@@ -131,12 +133,40 @@ def q_norm_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sv.norm_rows(mart(spark, sf).stg_nav)
 
 
-@alias(["mart_views"], """
-SELECT region_name AS country_name, total_true_weight_pct, total_true_value_thb FROM o_country_agg""")
+VIEW_SRC = {
+    "vw_dashboard_cards": "o_cards",
+    "vw_top_holdings": "o_topn",
+    "vw_sector_allocation": "o_sector_agg",
+    "vw_country_allocation": "(SELECT *, region_name AS country_name FROM o_country_agg)",
+    "vw_search_by_fund": "o_search_by_fund",
+    "vw_search_by_asset": "o_search_by_fund",
+    "vw_nav_aum_thb": "o_vw_nav",
+}
+
+
+@alias(["mart_views"], digests_sql(VIEW_SRC, VIEWS, "view_name"))
 def q_views(spark: SparkSession, sf: str) -> DataFrame:
-    m = mart(spark, sf)
-    m.register_views()
-    return spark.table("vw_country_allocation")
+    """Rows and digest of the seven registered views, read by name."""
+    mart(spark, sf).register_views()
+    return digests({v: spark.table(v) for v in VIEW_SRC}, "view_name")
+
+
+def _view(name: str):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return sv.serving_views(mart(spark, sf))[name]
+
+    return run
+
+
+def _view_sql(name: str) -> str:
+    return f"SELECT {', '.join(c for c, _ in columns(VIEWS[name]))} FROM {VIEW_SRC[name]}"
+
+
+for _key, _name in (
+    ("view_top_holdings", "vw_top_holdings"), ("view_sector_allocation", "vw_sector_allocation"),
+    ("view_country_allocation", "vw_country_allocation"),
+):
+    alias([_key], _view_sql(_name))(_view(_name))
 
 
 @alias(["limit1_summary"], """
@@ -213,16 +243,14 @@ def q_sort_multi(spark: SparkSession, sf: str) -> DataFrame:
     return global_row_number(cov, order, "position")
 
 
-@alias(["mart_write_replace"], counts_sql(MART_SRC, MART_VALUE))
+@alias(["mart_write_replace"], digests_sql(MART_SRC, MART))
 def q_write(spark: SparkSession, sf: str) -> DataFrame:
-    """Write all 14 mart tables (overwrite) under the shared checkpoint
-    folder, then count and add up what was written."""
+    """Publish the 14 mart tables as a new version under the shared
+    checkpoint folder, then read what readers now see."""
     import hashlib
 
     from ..session import ensure_checkpoint_dir
-    from ..sources.sinks import write_tables
 
-    m = mart(spark, sf)
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/fundlens-mart/" + hashlib.sha1(sf.encode()).hexdigest()[:12]
-    paths = write_tables(m.tables(), root)
-    return counted({t: spark.read.parquet(p) for t, p in paths.items()}, MART_VALUE)
+    version = publish(mart(spark, sf).tables(), root)
+    return digests(published(spark, root, version))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.strings import extract_symbol
 from ..oracle import star  # noqa: F401
 from ..oracle.ctes import CTE
+from ..sources.publish import digests
 from .common import mart
+from .contracts import STAR, digests_sql
 from .core import alias
-from .quality import counted, counts_sql
 
 STAR_TABLES = {
     "stocks": "o_dim_stocks",
@@ -17,13 +18,8 @@ STAR_TABLES = {
     "fund_direct_holdings": "o_fact_direct",
     "fund_master_holdings": "o_fact_master",
     "master_fund_holdings": "o_master_fund_holdings",
-    "fund_sector_breakdown": "(SELECT percentage FROM o_alloc_rows WHERE alloc_type = 'sector_alloc')",
-    "fund_country_breakdown": "(SELECT percentage FROM o_alloc_rows WHERE alloc_type = 'country_alloc')",
-}
-STAR_VALUE = {
-    "stocks": "id", "funds": "return_1y", "master_funds": "id", "fund_direct_holdings": "holding_value_thb",
-    "fund_master_holdings": "holding_value_thb", "master_fund_holdings": "percent_weight",
-    "fund_sector_breakdown": "percentage", "fund_country_breakdown": "percentage",
+    "fund_sector_breakdown": "(SELECT fund_id, alloc_name AS sector_name, percentage FROM o_alloc_rows WHERE alloc_type = 'sector_alloc')",
+    "fund_country_breakdown": "(SELECT fund_id, alloc_name AS country_name, percentage FROM o_alloc_rows WHERE alloc_type = 'country_alloc')",
 }
 
 
@@ -31,9 +27,10 @@ def _star(spark: SparkSession, sf: str):
     return mart(spark, sf).star
 
 
-@alias(["api_star_schema"], counts_sql(STAR_TABLES, STAR_VALUE))
+@alias(["api_star_schema"], digests_sql(STAR_TABLES, STAR))
 def q_star(spark: SparkSession, sf: str) -> DataFrame:
-    return counted(_star(spark, sf).tables(), STAR_VALUE)
+    """Rows and a digest over all columns of the eight tables."""
+    return digests(_star(spark, sf).tables())
 
 
 @alias(["dim_funds", "join_fund_return", "surrogate_keys"], "SELECT * FROM o_dim_funds")
