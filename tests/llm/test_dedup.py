@@ -217,3 +217,30 @@ def test_exact_dedup_uses_no_python(spark):
     out = exact_dedup.exact_duplicates(df).select(F.col("*"))
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("min_hot", [0, 2, 1024])
+def test_block_names_are_places_in_sorted_order(spark, monkeypatch, min_hot):
+    """Names do not depend on files, partitions or on which keys are hot."""
+    monkeypatch.setattr(exact_dedup, "MIN_HOT", min_hot)
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab"), rng.integers(0, 14))) for _ in range(120)] + ["abab"] * 40 + ["b" * 11] * 30
+    seen = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(list(enumerate(texts)), DOC).repartition(parts, "doc_id")
+        df = exact_dedup.numbered(written(df, "rows"))
+        ids = exact_dedup.identities(df, block_bytes=4).join(df, "__row").collect()
+        assert len(ids) == len(texts)
+        seen.append({r["doc_id"]: (r["blocks"], r["name"]) for r in ids})
+    assert seen[0] == seen[1]
+    by_text = defaultdict(set)
+    for i, t in enumerate(texts):
+        by_text[t].add(seen[0][i])
+    assert all(len(v) == 1 for v in by_text.values())
+    assert len({next(iter(v)) for v in by_text.values()}) == len(by_text)
+    # places of the different blocks: ordered by hash, then by bytes
+    blocks = {t[p : p + 4] for t in texts for p in range(0, max(1, len(t)), 4)}
+    order = spark.createDataFrame([(b,) for b in blocks], "b string").selectExpr("b", "xxhash64(cast(b as binary)) h").collect()
+    order = sorted(order, key=lambda r: (r["h"] % 2**64, r["b"]))
+    place = {r["b"]: i for i, r in enumerate(order)}
+    assert all(seen[0][i][1] == place[t] for i, t in enumerate(texts) if len(t) <= 4)
