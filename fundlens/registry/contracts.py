@@ -96,6 +96,24 @@ STAR: dict[str, str] = {
     "fund_country_breakdown": "fund_id:long country_name percentage:double",
 }
 
+# given tables, with the Spark type names of their columns
+GIVEN: dict[str, str] = {
+    "region": "r_regionkey:int r_name",
+    "nation": "n_nationkey:int n_name n_regionkey:int",
+    "customer": "c_custkey:bigint c_name c_nationkey:int c_acctbal:double c_mktsegment",
+    "supplier": "s_suppkey:bigint s_name s_nationkey:int s_acctbal:double",
+    "part": "p_partkey:bigint p_name p_brand p_type p_size:int p_retailprice:double",
+    "orders": "o_orderkey:bigint o_custkey:bigint o_orderstatus o_totalprice:double o_orderdate:timestamp_ntz o_orderpriority",
+    "lineitem": (
+        "l_orderkey:bigint l_partkey:bigint l_suppkey:bigint l_linenumber:int l_quantity:double l_extendedprice:double "
+        "l_discount:double l_tax:double l_returnflag l_linestatus l_shipdate:timestamp_ntz"
+    ),
+    "events": "event_id:bigint ts:timestamp_ntz user_id:bigint event_type value:double props",
+}
+GIVEN_KEYS: dict[str, list[str]] = {t: [c.split()[0].split(":")[0]] for t, c in GIVEN.items()} | {
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+}
+
 
 def columns(contract: str) -> list[tuple[str, str]]:
     """(name, type) pairs."""
@@ -112,6 +130,8 @@ def _text_sql(name: str, dtype: str) -> str:
             f"WHEN {x} IS NOT NULL THEN 'big' END")
     elif dtype == "date":
         value = f"strftime(CAST({name} AS DATE), '%Y-%m-%d')"
+    elif dtype.startswith("timestamp"):
+        value = f"strftime(CAST({name} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')"
     else:
         value = f"CAST({name} AS VARCHAR)"
     return f"coalesce('=' || ({value}), 'null')"
@@ -126,3 +146,29 @@ def digests_sql(sources: dict[str, str], contracts: dict[str, str], label: str =
         parts.append(
             f"SELECT '{table}' AS {label}, count(*) AS row_count, CAST(coalesce(sum({bits}), 0) AS VARCHAR) AS digest FROM {source}")
     return " UNION ALL ".join(parts)
+
+
+def profile_sql() -> str:
+    """The exact columns of ``sources/catalog.profile`` over the given tables."""
+    parts = []
+    for table, contract in GIVEN.items():
+        for i, (name, dtype) in enumerate(columns(contract), start=1):
+            parts.append(
+                f"SELECT '{table}' AS table_name, {i} AS ordinal, '{name}' AS column_name, "
+                f"'{dtype}' AS data_type, true AS nullable, "
+                f"count(*) AS row_count, count(*) - count({name}) AS null_count, "
+                f"(count(*) - count({name}))::DOUBLE / nullif(count(*), 0) AS null_share, "
+                f"{_text_sql(f'min({name})', dtype)} AS smallest, {_text_sql(f'max({name})', dtype)} AS largest FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+def samples_sql(n: int = 3) -> str:
+    """The rows of ``sources/catalog.samples`` over the given tables."""
+    parts = []
+    for table, contract in GIVEN.items():
+        text = ", ".join(_text_sql(c, t) for c, t in columns(contract))
+        order = ", ".join(f"{k} NULLS LAST" for k in GIVEN_KEYS[table])
+        parts.append(
+            f"SELECT * FROM (SELECT '{table}' AS table_name, row_number() OVER (ORDER BY {order})::INT AS position, "
+            f"concat_ws('|', {text}) AS row_text FROM {table}) WHERE position <= {n}")
+    return " UNION ALL ".join(parts)

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config
+from ..operators import trigrams
 from ..oracle import stages, star  # noqa: F401
 from ..oracle.ctes import define
 from ..oracle.stages import dsum, strip
 from ..plans import serving as sv
 from ..plans.exposure import alloc_order
+from ..session import ensure_checkpoint_dir
+from ..sources import catalog
 from ..sources.publish import digests, publish, published
 from .common import mart
-from .contracts import MART, VIEWS, columns, digests_sql
+from .contracts import GIVEN, GIVEN_KEYS, MART, VIEWS, columns, digests_sql, profile_sql, samples_sql
 from .core import alias
 from .quality import MART_SRC
 
 SEARCH_ORDER = ("total_true_value_thb DESC NULLS LAST, fund_code NULLS LAST, holding_name NULLS LAST, "
                 "holding_ticker NULLS LAST, holding_type NULLS LAST")
 FUND_QUERY = "F1"
+FUND_GRAMS = "001"
 ASSET_QUERY = "Ring"
 DONUT_K = 5
 
@@ -127,6 +133,58 @@ def q_donut_country(spark: SparkSession, sf: str) -> DataFrame:
                     DONUT_K, "shown")
 
 
+TYPED_SRC = ("SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price, o_orderdate AS ordered_at, "
+             "CAST(o_orderdate AS DATE) AS ordered_on FROM orders")
+
+
+@alias(["payload_norm_typed"], f"""
+SELECT o_orderkey, CAST(price AS DOUBLE) AS price, strftime(ordered_at, '%Y-%m-%dT%H:%M:%S') AS ordered_at,
+       strftime(ordered_on, '%Y-%m-%d') AS ordered_on FROM ({TYPED_SRC})""")
+def q_norm_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """S10 on input that has a decimal, a timestamp and a date."""
+    orders = mart(spark, sf).src.raw("orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.col("o_orderdate").alias("ordered_at"), F.col("o_orderdate").cast("date").alias("ordered_on"))
+    return sv.norm_rows(orders)
+
+
+@alias(["catalog_profile"], profile_sql())
+def q_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The given tables by column; the estimate is tested by its error."""
+    raw = mart(spark, sf).src.raw
+    return catalog.profile({t: raw(t) for t in GIVEN}).drop("distinct_estimate")
+
+
+@alias(["catalog_samples"], samples_sql())
+def q_samples(spark: SparkSession, sf: str) -> DataFrame:
+    raw = mart(spark, sf).src.raw
+    return catalog.samples({t: raw(t) for t in GIVEN}, GIVEN_KEYS)
+
+
+def _indexed(rows: DataFrame, columns_: list[str], query: str) -> DataFrame:
+    """Write the index of each column to the shared folder and search it."""
+    root = f"{ensure_checkpoint_dir(rows.sparkSession).rstrip('/')}/trigrams-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{root}/rows")  # read by the indexes and by the search
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(f"{root}/rows")
+    for c in columns_:
+        trigrams.write_index(rows, c, f"{root}/{c}")
+    return trigrams.search(rows, query, {c: f"{root}/{c}" for c in columns_})
+
+
+@alias(["search_fund_indexed"], f"""
+SELECT * FROM o_search_by_fund WHERE contains(lower(coalesce(fund_code, '')), '{FUND_GRAMS.lower()}')""")
+def q_search_fund_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return _indexed(sv.search_by_fund(mart(spark, sf).stock), ["fund_code"], FUND_GRAMS)
+
+
+@alias(["search_asset_indexed"], f"""
+SELECT * FROM o_search_by_fund
+WHERE contains(lower(coalesce(holding_name, '')), '{ASSET_QUERY.lower()}')
+   OR contains(lower(coalesce(holding_ticker, '')), '{ASSET_QUERY.lower()}')""")
+def q_search_asset_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    return _indexed(sv.search_by_asset(mart(spark, sf).stock), ["holding_name", "holding_ticker"], ASSET_QUERY)
+
+
 @alias(["payload_norm_row", "iso_format"], """
 SELECT fund_code, strftime(nav_as_of_date, '%Y-%m-%d') AS nav_as_of_date, aum_native, fund_currency FROM o_stg_nav""")
 def q_norm_rows(spark: SparkSession, sf: str) -> DataFrame:

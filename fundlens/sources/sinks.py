@@ -1,9 +1,8 @@
-"""Sinks (S5-S8, S11): mart writes, FX upsert write, views, catalog profile."""
+"""Sinks (S5-S8): mart writes, FX upsert write, views."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
@@ -27,17 +26,3 @@ def write_fx_partitions(df: DataFrame, path: str) -> None:
 def fx_alias_view(fx: DataFrame, name: str = "dim_fx_rates") -> None:
     """Compatibility view over the FX table."""
     fx.select("date_rate", "from_ccy", "to_ccy", "rate_to_thb", "source_system", "updated_at").createOrReplaceTempView(name)
-
-
-def catalog_profile(spark: SparkSession, names: list[str]) -> DataFrame:
-    """Per table the column name, type, nullability and position (schema
-    metadata only; sample rows come from ``df.limit(3)`` per table)."""
-    rows = []
-    for t in names:
-        for i, f in enumerate(spark.table(t).schema.fields):
-            rows.append((t, i + 1, f.name, f.dataType.simpleString(), f.nullable))
-    return spark.createDataFrame(rows, "table_name string, ordinal int, column_name string, data_type string, nullable boolean")
-
-
-def sample_rows(spark: SparkSession, name: str, n: int = 3) -> DataFrame:
-    return spark.table(name).limit(n).select(F.to_json(F.struct("*")).alias("row_json"))
