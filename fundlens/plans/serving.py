@@ -231,6 +231,12 @@ def payload_items(m) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def section_order(sections: dict[str, DataFrame]) -> dict[str, str]:
+    """The column that orders each list; summaries are single records."""
+    return {s: "rank_no" if "rank_no" in df.columns else "position" for s, df in sections.items()
+            if not s.startswith("dashboard_summary")}
+
+
 def write_payload(sections: dict[str, DataFrame], path: str) -> None:
     """S9 sink: JSON lines, a folder for each section (parallel writers)."""
     for name, df in sections.items():

@@ -96,6 +96,38 @@ STAR: dict[str, str] = {
     "fund_country_breakdown": "fund_id:long country_name percentage:double",
 }
 
+# payload sections as they are read back
+_SUMMARY = (
+    "scope total_value_thb:double top_sector_name top_sector_weight_pct:double top_country_name top_country_weight_pct:double "
+    "avg_fund_return_1y:double avg_fund_return_3y:double mapped_fund_count:long mapped_master_count:long"
+)
+_THAI_HOLDINGS = (
+    "symbol total_thai_fund_value:double total_weight_pct:double fund_count:long holding_type as_of_date:date full_name rank_no:long"
+)
+_SHARES = "total_true_weight_pct:double total_true_value_thb:double allocation_share_pct:double position:long"
+_SEARCHED = (
+    "fund_code holding_name holding_ticker holding_type total_true_weight_pct:double total_true_value_thb:double position:long"
+)
+SECTIONS: dict[str, str] = {
+    "dashboard_summary": _SUMMARY,
+    "dashboard_summary_thai": f"{_SUMMARY} fund_count:long as_of_date:date",
+    "dashboard_summary_global": f"{_SUMMARY} fund_count:long as_of_date:date",
+    "top_thai_holdings_top10": _THAI_HOLDINGS,
+    "top_thai_holdings_all": _THAI_HOLDINGS,
+    "top_global_traceability_top10": (
+        "holding_key holding_ticker holding_type total_true_weight_pct:double total_true_value_thb:double holding_name rank_no:long"
+    ),
+    "top_global_traceability_all": (
+        "rank_no:long holding_key holding_ticker holding_name holding_type total_weight_pct:double global_fund_value:double"
+    ),
+    "sector_allocation_thai": f"sector_name {_SHARES} as_of_date:date",
+    "sector_allocation_global": f"sector_name {_SHARES}",
+    "country_allocation_thai": f"country_name {_SHARES} as_of_date:date",
+    "country_allocation_global": f"country_name is_country_like:boolean {_SHARES}",
+    "search_by_fund": _SEARCHED,
+    "search_by_asset": _SEARCHED,
+}
+
 # given tables, with the Spark type names of their columns
 GIVEN: dict[str, str] = {
     "region": "r_regionkey:int r_name",

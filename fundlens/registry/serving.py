@@ -15,17 +15,17 @@ from ..oracle.stages import dsum, strip
 from ..plans import serving as sv
 from ..plans.exposure import alloc_order
 from ..session import ensure_checkpoint_dir
-from ..sources import catalog
+from ..sources import catalog, document
 from ..sources.publish import digests, publish, published
 from .common import mart
-from .contracts import GIVEN, GIVEN_KEYS, MART, VIEWS, columns, digests_sql, profile_sql, samples_sql
+from .contracts import GIVEN, GIVEN_KEYS, MART, SECTIONS, VIEWS, columns, digests_sql, profile_sql, samples_sql
 from .core import alias
 from .quality import MART_SRC
 
 SEARCH_ORDER = ("total_true_value_thb DESC NULLS LAST, fund_code NULLS LAST, holding_name NULLS LAST, "
                 "holding_ticker NULLS LAST, holding_type NULLS LAST")
 FUND_QUERY = "F1"
-FUND_GRAMS = "001"
+FUND_GRAMS = "F12"
 ASSET_QUERY = "Ring"
 DONUT_K = 5
 
@@ -279,6 +279,39 @@ def q_payload(spark: SparkSession, sf: str) -> DataFrame:
     return sv.payload_items(mart(spark, sf))
 
 
+_GLOBAL = "SELECT *, row_number() OVER (ORDER BY total_true_value_thb DESC NULLS LAST, {0} NULLS LAST) AS position FROM {1}"
+_THAI = ("SELECT name AS {0}_name, total_weight_pct AS total_true_weight_pct, total_value_thb AS total_true_value_thb, "
+         "allocation_share_pct, as_of_date, row_number() OVER (ORDER BY total_value_thb DESC NULLS LAST, name NULLS LAST) AS position "
+         "FROM o_scoped_exposure WHERE scope = 'TH' AND dimension = '{0}'")
+_SEARCH_LIST = (f"SELECT *, row_number() OVER (ORDER BY {SEARCH_ORDER}) AS position FROM (SELECT * FROM o_search_by_fund "
+                f"ORDER BY {SEARCH_ORDER} LIMIT {config.SEARCH_PAYLOAD_LIMIT})")
+SECTION_SRC = {name: f"({sql})" for name, sql in {
+    "dashboard_summary": "SELECT 'ALL' AS scope, total_holdings_value_thb AS total_value_thb, * FROM o_cards LIMIT 1",
+    "dashboard_summary_thai": "SELECT * FROM o_scoped_cards WHERE scope = 'TH'",
+    "dashboard_summary_global": "SELECT * FROM o_scoped_cards WHERE scope = 'FOREIGN'",
+    "top_thai_holdings_top10": f"SELECT * FROM o_top_thai WHERE rank_no <= {config.TOP_N}",
+    "top_thai_holdings_all": "SELECT * FROM o_top_thai",
+    "top_global_traceability_top10": "SELECT * FROM o_topn",
+    "top_global_traceability_all": "SELECT *, total_true_weight_pct AS total_weight_pct, total_true_value_thb AS global_fund_value FROM o_top_holdings",
+    "sector_allocation_thai": _THAI.format("sector"),
+    "sector_allocation_global": _GLOBAL.format("sector_name", "o_sector_agg"),
+    "country_allocation_thai": _THAI.format("country"),
+    "country_allocation_global": _GLOBAL.format("country_name", "(SELECT *, region_name AS country_name FROM o_country_agg)"),
+    "search_by_fund": _SEARCH_LIST,
+    "search_by_asset": _SEARCH_LIST,
+}.items()}
+
+
+@alias(["payload_document"], digests_sql(SECTION_SRC, SECTIONS, "section"))
+def q_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The payload as one document, read back from its files: records and
+    digest over all columns of every section."""
+    sections = {name: sv.norm_rows(df) for name, df in sv.payload_sections(mart(spark, sf)).items()}
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/payload-{uuid.uuid4().hex}"
+    document.write_document(sections, sv.section_order(sections), path)
+    return digests(document.read_sections(spark, path, {n: df.schema for n, df in sections.items()}), "section")
+
+
 @alias(["round_summary"], """
 SELECT mapped_fund_count, mapped_master_count, round(total_holdings_value_thb, 2) AS total_holdings_value_thb,
        top_sector_name, round(coalesce(top_sector_weight_pct, 0.0::DOUBLE), 4) AS top_sector_weight_pct,
