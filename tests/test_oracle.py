@@ -99,3 +99,17 @@ def test_wrong_values_fail_the_enum_check(spark):
     rows = spark.createDataFrame([("STOCK",), ("fund",), (None,)], "item_type string")
     bad = check_row(not_accepted(rows, "item_type", config.ITEM_TYPES), "item_type_values", 0, "n").first()
     assert (bad["status"], bad["metric"]) == ("FAIL", 2.0)
+
+
+@pytest.mark.parametrize("key, label", [("view_sector_allocation", "sector_name"), ("view_country_allocation", "region_name")])
+def test_allocation_views_hold_the_whole_aggregate(key, label):
+    cols = [d[0] for d in duckdb_columns(entry.oracle_sql()[key])]
+    assert {label, "total_true_weight_pct", "total_true_value_thb", "allocation_share_pct"} <= set(cols)
+    assert QUERIES[key] is QUERIES["agg_sector_exposure" if label == "sector_name" else "agg_country_exposure"]
+
+
+def duckdb_columns(sql):
+    c = duckdb.connect()
+    for t in RAW_TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return c.execute(f"SELECT * FROM ({sql}) LIMIT 0").description
