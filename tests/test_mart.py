@@ -85,3 +85,36 @@ def test_quality_report_passes_at_small_scale(spark):
     names = [r.check_name for r in rep.collect()]
     assert len(names) == 8
     assert overall(rep).first().result in ("PASS", "FAIL")
+
+
+def test_payload_sections_and_facts_are_planned_from_kept_files(spark):
+    # the driver ran out of memory on plans that held the cached plans of every shared frame
+    from fundlens.plans.serving import payload_sections
+    from fundlens.registry.common import mart
+
+    m = mart(spark, SF_SMALL)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (*payload_sections(m).values(), m.cards, m.sector_agg)]
+    assert not any("InMemoryRelation" in p for p in plans)
+    assert max(p.count("\n") for p in plans) < 80
+
+
+def test_facts_attach_nav_before_they_fan_out(spark):
+    from fundlens.registry.common import mart
+
+    m = mart(spark, SF_SMALL)
+    for fact in (m.stock, m.sector, m.region):
+        assert fact._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_newest_rows_equal_latest_snapshot(spark):
+    from fundlens.operators.snapshots import latest_snapshot, newest_rows
+
+    rows = spark.createDataFrame([
+        ("A", D(2024, 1, 1), 1), ("A", D(2024, 2, 1), 2), ("A", D(2024, 2, 1), 2), ("A", None, 3),
+        (None, D(2024, 3, 1), 4), ("B", None, 5), ("C", D(2023, 1, 1), None),
+    ], "k string, d date, v int")
+    got = newest_rows(rows, ["k"], "d")
+    assert got.columns == rows.columns
+    key = lambda r: (r.k, r.d, str(r.v))
+    assert sorted(map(key, got.collect())) == sorted(map(key, latest_snapshot(rows, ["k"], "d").collect()))
+    assert got.count() == 3
