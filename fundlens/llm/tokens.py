@@ -93,7 +93,7 @@ def merger(path: str) -> Callable[[bytes], list[int]] | None:
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, kind: str, limit: int = 1_000_000, part_chars: int = 2_000_000):
+    def __init__(self, path: str, kind: str, limit: int = 200_000, part_chars: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -229,7 +229,10 @@ def learn(
     max_stems: int = 2000,
     precision: float = 0.9,
     false_discoveries: float = 0.01,
+    held_words: int = 30_000,
 ) -> Grammar:
+    """``held_words``: beginnings that a task counts in memory before it passes
+    the counts on; they are added up afterwards, so it changes no result."""
     known = (
         labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id"))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
@@ -252,7 +255,7 @@ def learn(
                 own = {p for w in set(_words(text)) for p in _beginnings(w)}
                 for p in own:
                     seen.setdefault(p, [0, 0])[0 if toxic else 1] += 1
-                if len(seen) > 300_000:
+                if len(seen) > held_words:
                     yield rows(seen)
                     seen = {}
         if seen:

@@ -298,3 +298,11 @@ def test_without_quotes_turn_order_stays(spark):
     assert out.count() == df.count() and out.where(F.col("position") != F.col("turn") + 1).count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_toxicity_counts_are_passed_on_early(spark):
+    rows = [(i, f"grumblefoot walks by {'abcdefghijklmnopqrst'[i % 20] * 5}{i}", "en", "x") for i in range(60)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "docs")
+    labels = written(spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int"), "labels")
+    few, many = (toxicity.learn(docs, labels, held_words=n) for n in (3, 1_000_000))
+    assert few.stems == many.stems and np.array_equal(few.weights, many.weights)

@@ -174,3 +174,16 @@ def test_sentencepiece_query(spark, libs):
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert sentencepiece_codec.encode_decode(docs.limit(0)).count() == 0
+
+
+def test_known_chunks_stay_bounded():
+    from fundlens.llm.tokens import ChunkEncoder, tokenizer_path
+
+    enc = ChunkEncoder(tokenizer_path("byte_bpe_50k.json"), "byte")
+    # idle workers keep their chunks: some 200 bytes each, two tables, one worker per core
+    assert enc.limit <= 200_000
+    texts = [f"qx{i} zv{i * 7}, k{i}" for i in range(500)]
+    want = list(enc.encode(texts))
+    small = ChunkEncoder(tokenizer_path("byte_bpe_50k.json"), "byte", limit=100)
+    assert list(small.encode(texts)) == want
+    assert max(map(len, small.known.values())) <= 100
