@@ -43,6 +43,9 @@ import pyarrow.compute as pc
 _ODD_SPACE = re.compile(r" (?!\S)")
 _BREAK = re.compile(r" (?=\S)")
 _CUT = "\x01"  # stands between chunks while a part is split
+# chunks that are kept, some 200 bytes each: a pipeline's idle workers keep the ones of
+# kind byte, in two tables; kind word has one table and fills it with lower-case words
+KNOWN = {"byte": 200_000, "word": 1_000_000}
 
 
 def tokenizer_path(name: str) -> str:
@@ -93,13 +96,14 @@ def merger(path: str) -> Callable[[bytes], list[int]] | None:
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, kind: str, limit: int = 200_000, part_chars: int = 2_000_000):
+    def __init__(self, path: str, kind: str, limit: int | None = None, part_chars: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kind, self.limit, self.part = kind, limit, part_chars
+        self.kind, self.part = kind, part_chars
+        self.limit = KNOWN[kind] if limit is None else limit
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.merge = merger(path) if kind == "byte" else None

@@ -187,3 +187,14 @@ def test_known_chunks_stay_bounded():
     small = ChunkEncoder(tokenizer_path("byte_bpe_50k.json"), "byte", limit=100)
     assert list(small.encode(texts)) == want
     assert max(map(len, small.known.values())) <= 100
+
+
+def test_word_encoder_keeps_more_chunks_than_a_few_texts_hold():
+    from fundlens.llm.tokens import ChunkEncoder, tokenizer_path
+
+    enc = ChunkEncoder(tokenizer_path("word_bpe_49k.json"), "word")
+    texts = [" ".join(f"w{i + k}x" for k in range(100)) for i in range(0, 250_000, 100)]
+    first = list(enc.encode(texts))
+    assert len(enc.known[""]) == 250_000  # 200,000 were kept before; the rest was encoded anew for each part
+    assert enc.limit == 1_000_000 and not enc.known[" "]
+    assert list(enc.encode(texts[-3:])) == first[-3:]
