@@ -98,7 +98,7 @@ def publish(tables: Mapping[str, DataFrame], root: str) -> int:
     rows = []
     for name, df in tables.items():
         path, seen = f"{root}/v{version:06d}-{build}/{name}", Observation(name)
-        df.observe(seen, *digest_columns(df)).write.parquet(path)
+        df.observe(seen, *digest_columns(df)).write.option("compression", "zstd").parquet(path)
         rows.append((version, build, name, path, seen.get["row_count"], seen.get["digest"]))
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
     return version

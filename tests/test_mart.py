@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from fundlens.plans.bridge import build_bridge
 from fundlens.plans.exposure import bridge_ok
 from fundlens.plans.loaders import load_dataset
@@ -195,3 +197,65 @@ def test_cards_alone_write_no_fact(spark):
     assert not {"stock_shared", "sector_shared", "region_shared"} & m.__dict__.keys()
     n.stock_shared, n.sector_shared, n.region_shared  # noqa: B018  as a build asks for them
     assert n.cards.collect() == cards
+
+def test_newest_rows_near_other_dates(spark):
+    """Right whatever the other table's dates are: the same, older, newer or missing;
+    rows without a partner in the derived table's join do not count."""
+    from fundlens.operators.snapshots import latest_snapshot, newest_rows_near
+    from fundlens.session import written
+
+    o = written(spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (None, "z")], "k int, v string"), "test")
+    line = written(spark.createDataFrame([
+        (1, 7, D(2024, 1, 1)), (9, 7, D(2024, 2, 1)),  # the newest row has no partner
+        (1, 8, D(2024, 1, 1)), (2, 8, D(2024, 3, 1)), (2, 8, D(2024, 3, 1)),  # later than the other table
+        (2, 5, D(2023, 1, 1)), (1, 5, D(2022, 1, 1)),  # not in the other table
+        (2, 6, D(2024, 2, 1)), (1, 6, D(2024, 1, 1)), (None, 6, D(2025, 1, 1)), (2, 6, None), (2, None, D(2024, 1, 1)),
+    ], "k2 int, m int, d date"), "test")
+    near = written(spark.createDataFrame([(f"T{m}", d) for m, d in [
+        (7, D(2024, 2, 1)), (8, D(2024, 1, 1)), (8, None), (6, D(2024, 2, 1)), (6, D(2024, 2, 1)), (4, D(2024, 1, 1))]]
+        + [(None, D(2024, 1, 1))], "t string, d date"), "test")
+    j = line.join(o, line["k2"] == o["k"]).select(F.concat(F.lit("T"), F.col("m").cast("string")).alias("t"), "v", "d")
+    kept = []
+
+    def keep(df):
+        kept.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, "test")
+
+    got = newest_rows_near(j, ["t"], "d", near, keep)
+    want = latest_snapshot(j, ["t"], "d")
+    assert got.columns == j.columns
+    key = lambda r: (r["t"], r["v"], r["d"])
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    assert {r["t"]: r["d"] for r in got.collect()} == {
+        "T5": D(2023, 1, 1), "T6": D(2024, 2, 1), "T7": D(2024, 1, 1), "T8": D(2024, 3, 1)}
+    assert 0 <= kept[0].index("Join Inner") < kept[0].index("Join LeftSemi")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Join Inner") < plan.index("Join LeftAnti")
+
+
+def test_region_dates_join_no_old_line_items(spark):
+    """Every join with orders reads line items near the newest dates only, and the
+    facts' bridge holds the facts' columns only."""
+    from fundlens.plans.loaders import Dataset, load_allocation
+
+    src, plans = TestData(spark, SF_SMALL), []
+
+    def keep(df):
+        from fundlens.session import written
+
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, "test")
+
+    got, ranked = Dataset(spark, src, keep).ft_region, load_allocation(src, "region")
+    assert ranked.count() == got.count() and ranked.exceptAll(got).isEmpty()
+    joined = [p for p in plans if "o_orderkey" in p]
+    assert joined and all("Join LeftSemi" in p for p in joined)
+
+
+def test_kept_bridge_has_the_columns_of_the_facts(spark):
+    from fundlens.registry.common import mart
+
+    m = mart(spark, SF_SMALL)
+    assert not {"token", "token_isin", "name", "ticker_type", "as_of_date"} & set(m.bridge_nav.columns)
+    assert m.stock.count() > 0
+    assert any(f.endswith(".zstd.parquet") for f in m.bridge_nav.inputFiles())
